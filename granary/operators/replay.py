@@ -67,8 +67,11 @@ def current_job_logs(
 ) -> DataFrame:
     """One row per log object ``(key, outcome, attempt)`` with the content of the event that wrote it last.
 
-    Output: the input columns of the winning event, plus ``outcome`` (success / failure) and ``nsucc``.
+    Output: the input columns of the winning event, plus ``outcome`` (success / failure) and ``nsucc``. An input
+    ``outcome`` column (the attempt's own outcome) is replaced by the current one.
     """
+    if "outcome" in events.columns:
+        events = events.drop("outcome")
     with_next = next_success(events, key, order, job_outcome, block_size)
     nsucc = F.col("nsucc")
     superseded = (F.col(job_outcome) != SUCCESS) & nsucc.isNotNull()
@@ -95,19 +98,27 @@ def attempt_history(logs: DataFrame, key: str = "granule_id", attempt: str = "at
     return logs.groupBy(key, "outcome").agg(F.sort_array(F.collect_list(attempt)).alias("attempts"))
 
 
-def event_lookup(
+def lookup_events(
     requests: DataFrame, logs: DataFrame, key: str = "granule_id", attempt: str = "attempt", payload: str = "job_outcome"
-) -> tuple[DataFrame, DataFrame]:
-    """Look up logged details for ``(granule, attempt)`` requests: success first, then failure.
+) -> DataFrame:
+    """Look up logged details for ``(granule, attempt)`` requests: the success log first, then the failure log.
 
-    Returns ``(found, missing)``: ``found`` has the request columns, ``outcome`` and ``payload``; ``missing`` the
-    requests with no log under either outcome (the single lookup raises for these).
+    Every request row comes back once, with ``outcome`` and ``payload`` of the log found and ``found`` false when the
+    attempt is logged under neither outcome (the single-object lookup raises for those; ``missing_events`` lists them).
+    ``logs`` is first reduced to one row per (granule, attempt) by a partial aggregate, so the join is one-to-one.
     """
     best = logs.groupBy(key, attempt).agg(
         F.max_by(F.struct(F.col("outcome"), F.col(payload)), F.col("outcome") == OUTCOME_SUCCESS).alias("_hit")
     )
-    found = requests.join(best, [key, attempt], "inner").select(
-        *[F.col(c) for c in requests.columns], F.col("_hit.outcome").alias("outcome"), F.col("_hit").getField(payload).alias(payload)
+    joined = requests.join(best, [key, attempt], "left")
+    return joined.select(
+        *[F.col(c) for c in requests.columns],
+        F.col("_hit.outcome").alias("outcome"),
+        F.col("_hit").getField(payload).alias(payload),
+        F.col("_hit").isNotNull().alias("found"),
     )
-    missing = requests.join(best, [key, attempt], "left_anti")
-    return found, missing
+
+
+def missing_events(requests: DataFrame, logs: DataFrame, key: str = "granule_id", attempt: str = "attempt") -> DataFrame:
+    """Requests with no log under either outcome."""
+    return requests.join(logs.select(key, attempt).distinct(), [key, attempt], "left_anti")

@@ -135,7 +135,7 @@ def job_details_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_linestatus") == "F", "job-definition/processing:3")
         .otherwise("job-definition/processing:4")
         .alias("job_definition"),
-        "granule_id", "attempt", "seq", "ymd",
+        "granule_id", "attempt", "seq", "k", "ymd",
         F.when(outcome == "SUCCESS", 0).when(outcome == "FAILURE_NONRETRYABLE", 1).cast("int").alias("exit_code"),
         F.when(outcome == "FAILURE_RETRYABLE", "Host EC2 (instance i-0) terminated.")
         .otherwise("Essential container in task exited")
@@ -193,6 +193,7 @@ def state_change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.concat(F.lit("job/"), F.col("id"))).alias("resources"),
         detail.alias("detail"),
         F.col("seq"),
+        F.col("k"),
     )
 
 
@@ -244,7 +245,7 @@ job_details as (
   case when seq % 7 = 0 then 'RUNNING' when job_outcome='SUCCESS' then 'SUCCEEDED' else 'FAILED' end status,
   case when l_suppkey % 5 = 0 then 'queue/other' else 'queue/main' end job_queue,
   case when l_suppkey % 7 = 0 then 'job-definition/other:1' when l_linestatus='F' then 'job-definition/processing:3' else 'job-definition/processing:4' end job_definition,
-  granule_id, attempt, seq, ymd, platform, acquisition_date,
+  granule_id, attempt, seq, k, ymd, platform, acquisition_date,
   case job_outcome when 'SUCCESS' then 0 when 'FAILURE_NONRETRYABLE' then 1 end exit_code,
   case job_outcome when 'FAILURE_RETRYABLE' then 'Host EC2 (instance i-0) terminated.' else 'Essential container in task exited' end status_reason,
   l_partkey % 3 + 1 n_attempts, case when l_suppkey % 10 = 0 then null else 3 end retry_attempts,
