@@ -27,32 +27,67 @@ def normalised_datetime_text(raw: Column) -> Column:
     return F.when(raw != F.lit(NULL_MARKER), text)
 
 
-def parse_line(line: Column | str, strict: bool = True) -> Column:
-    """``struct(granule_id, start_datetime, status, published)`` from a listing line.
+def line_groups(line: Column | str) -> list[Column]:
+    """The four pattern groups of a line plus a match flag: ``_ok, _gid, _dt, _status, _flag``.
+
+    Select these in their own projection and type them with :func:`typed_line`; Catalyst then keeps each regex
+    evaluation in one place instead of inlining it into every consumer (filters included).
+    """
+    v = _c(line)
+    return [
+        line_matches(v).alias("_ok"),
+        F.regexp_extract(v, INVENTORY_LINE_PATTERN, 1).alias("_gid"),
+        F.regexp_extract(v, INVENTORY_LINE_PATTERN, 2).alias("_dt"),
+        F.regexp_extract(v, INVENTORY_LINE_PATTERN, 3).alias("_status"),
+        F.regexp_extract(v, INVENTORY_LINE_PATTERN, 4).alias("_flag"),
+    ]
+
+
+def typed_line(line: Column | str, strict: bool = True) -> list[Column]:
+    """Typed ``granule_id, start_datetime, status, published`` (+ ``parse_ok`` when not strict) from
+    :func:`line_groups` columns.
 
     With ``strict`` a non-matching line or an unparseable datetime fails the job (as the single-file converter does);
-    otherwise the struct (or its datetime) is null so the caller can split off bad lines in the same scan.
+    otherwise the columns of a bad line are null and ``parse_ok`` is false, so good and bad lines come out of one scan.
     """
     v = _c(line)
+    ok = F.col("_ok")
+    dt_text = normalised_datetime_text(F.col("_dt"))
+    parsed_ts = F.try_to_timestamp(dt_text)
+    dt_ok = dt_text.isNull() | parsed_ts.isNotNull()
+    fields = {
+        "granule_id": F.col("_gid"),
+        "start_datetime": parsed_ts,
+        "status": F.col("_status"),
+        "published": F.col("_flag") == F.lit("t"),
+    }
+    if strict:
+        bad_line = F.raise_error(F.concat(F.lit("Could not parse line ("), v, F.lit(")")))
+        bad_dt = F.raise_error(F.concat(F.lit("Could not parse datetime in line ("), v, F.lit(")")))
+        fields["granule_id"] = F.when(ok, fields["granule_id"]).otherwise(bad_line)
+        fields["start_datetime"] = F.when(dt_ok, parsed_ts).otherwise(bad_dt)
+        return [c.alias(name) for name, c in fields.items()]
+    good = ok & dt_ok
+    return [F.when(good, c).alias(name) for name, c in fields.items()] + [good.alias("parse_ok")]
+
+
+def parse_line(line: Column | str, strict: bool = True) -> Column:
+    """Single-expression form of the parse (a struct); convenient for small inputs and tests."""
+    v = _c(line)
     raw_dt = F.regexp_extract(v, INVENTORY_LINE_PATTERN, 2)
     dt_text = normalised_datetime_text(raw_dt)
     parsed_ts = F.try_to_timestamp(dt_text)
-    if strict:
-        ts = F.when(
-            dt_text.isNull() | parsed_ts.isNotNull(), parsed_ts
-        ).otherwise(F.raise_error(F.concat(F.lit("Could not parse datetime in line ("), v, F.lit(")"))))
-    else:
-        ts = parsed_ts
+    dt_ok = dt_text.isNull() | parsed_ts.isNotNull()
     parsed = F.struct(
         F.regexp_extract(v, INVENTORY_LINE_PATTERN, 1).alias("granule_id"),
-        ts.alias("start_datetime"),
+        parsed_ts.alias("start_datetime"),
         F.regexp_extract(v, INVENTORY_LINE_PATTERN, 3).alias("status"),
         (F.regexp_extract(v, INVENTORY_LINE_PATTERN, 4) == F.lit("t")).alias("published"),
     )
-    ok = line_matches(v)
+    ok = line_matches(v) & dt_ok
     if strict:
         return F.when(ok, parsed).otherwise(F.raise_error(F.concat(F.lit("Could not parse line ("), v, F.lit(")"))))
-    return F.when(ok & (dt_text.isNull() | parsed_ts.isNotNull()), parsed)
+    return F.when(ok, parsed)
 
 
 def year_month(ts: Column | str) -> list[Column]:

@@ -31,15 +31,13 @@ def parse_inventory(lines: DataFrame, strict: bool = True) -> DataFrame:
     """Parse listing lines (``value`` column, other columns kept) into inventory columns; blank lines are skipped.
 
     ``strict`` fails the job on the first bad line. Otherwise a ``parse_ok`` flag marks bad lines (their parsed
-    columns are null), so good and bad rows come out of one scan and can be written side by side.
+    columns are null) and ``value`` is kept, so good and bad rows come out of one scan and can be written side by side.
     """
     keep = [c for c in lines.columns if c != "value"]
     nonblank = lines.filter(F.length("value") > 0)
-    parsed = nonblank.select(*keep, inv_fn.parse_line("value", strict=strict).alias("_r"), "value")
-    fields = [F.col("_r").getField(f).alias(f) for f in ("granule_id", "start_datetime", "status", "published")]
-    if strict:
-        return parsed.select(*keep, *fields)
-    return parsed.select(*keep, *fields, F.col("_r").isNotNull().alias("parse_ok"), "value")
+    groups = nonblank.select(*keep, "value", *inv_fn.line_groups("value"))
+    typed = groups.select(*keep, *inv_fn.typed_line("value", strict=strict), "value")
+    return typed.drop("value") if strict else typed
 
 
 def number_rows(

@@ -41,20 +41,26 @@ def next_success(
 
     ``order`` must be numeric and unique within a key (a per-granule sequence number or an arrival time in ms);
     ``block_size`` is in its units.
+
+    Plan: (1) per ``(key, block)`` the first success, a partial aggregate over three columns, then a suffix minimum
+    over each key's later blocks (a window over one row per block); (2) events joined to their block's summary (AQE
+    broadcasts the summary when it is small) and a suffix-minimum window inside ``(key, block)``, which reuses the
+    join's partitioning when the join shuffles.
     """
     o = F.col(order)
     succ_order = F.when(F.col(job_outcome) == SUCCESS, o)
-    blocked = events.withColumn("_blk", _block(o, block_size))
-
-    inside = Window.partitionBy(key, "_blk").orderBy(o).rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    blocked = blocked.withColumn("_succ_here", F.min(succ_order).over(inside))
+    block = _block(o, block_size)
 
-    summary = blocked.groupBy(key, "_blk").agg(F.min(succ_order).alias("_blk_succ"))
+    summary = events.select(key, block.alias("_blk"), succ_order.alias("_s")).groupBy(key, "_blk").agg(
+        F.min("_s").alias("_blk_succ")
+    )
     later = Window.partitionBy(key).orderBy("_blk").rowsBetween(1, Window.unboundedFollowing)
     summary = summary.select(key, "_blk", F.min("_blk_succ").over(later).alias("_succ_later"))
 
-    joined = blocked.join(summary, [key, "_blk"], "inner")
-    return joined.withColumn("nsucc", F.coalesce("_succ_here", "_succ_later")).drop("_blk", "_succ_here", "_succ_later")
+    joined = events.withColumn("_blk", block).join(summary, [key, "_blk"], "inner")
+    inside = Window.partitionBy(key, "_blk").orderBy(o).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    nsucc = F.coalesce(F.min(succ_order).over(inside), F.col("_succ_later"))
+    return joined.withColumn("nsucc", nsucc).drop("_blk", "_succ_later")
 
 
 def current_job_logs(

@@ -149,21 +149,21 @@ group by platform, outcome, year order by year desc, platform, outcome desc
 """)
 def progress_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: granule count per platform, latest outcome and acquisition year, from the replayed log."""
-    return reporting.progress_by_year(fx.current_logs(spark, sf_dir))
+    return reporting.progress_by_year(fx.current_logs(spark, sf_dir, extra=["platform", "acquisition_date"]))
 
 
 @register("overall_status", f"""
 select platform, outcome, count(*) granule_count from ({_LATEST}) t group by platform, outcome
 """)
 def overall_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reporting.overall_status(fx.current_logs(spark, sf_dir))
+    return reporting.overall_status(fx.current_logs(spark, sf_dir, extra=["platform"]))
 
 
 @register("current_job_logs", """
 select granule_id, outcome, attempt, job_outcome, seq, nsucc, platform from current_logs
 """)
 def current_job_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    logs = fx.current_logs(spark, sf_dir)
+    logs = fx.current_logs(spark, sf_dir, extra=["platform"])
     return logs.select("granule_id", "outcome", "attempt", "job_outcome", "seq", "nsucc", "platform")
 
 
@@ -209,7 +209,7 @@ from grid g left join report r on g.year = r.year and g.platform = r.platform an
 """)
 def report_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense (year x platform x outcome) grid of the yearly report; missing cells are null."""
-    report = reporting.progress_by_year(fx.current_logs(spark, sf_dir))
+    report = reporting.progress_by_year(fx.current_logs(spark, sf_dir, extra=["platform", "acquisition_date"]))
     return reporting.report_grid(report)
 
 
@@ -221,7 +221,7 @@ from report where outcome = 'success' group by year
 """)
 def report_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Success counts per year, one column per platform (chart data)."""
-    report = reporting.progress_by_year(fx.current_logs(spark, sf_dir))
+    report = reporting.progress_by_year(fx.current_logs(spark, sf_dir, extra=["platform", "acquisition_date"]))
     return reporting.report_pivot(reporting.report_grid(report)).filter(
         F.col("L30").isNotNull() | F.col("S30").isNotNull()
     )
@@ -232,7 +232,7 @@ def report_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 select min(year) min_year, max(year) max_year from report
 """)
 def report_year_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reporting.year_bounds(reporting.progress_by_year(fx.current_logs(spark, sf_dir)))
+    return reporting.year_bounds(reporting.progress_by_year(fx.current_logs(spark, sf_dir, extra=["platform", "acquisition_date"])))
 
 
 # ---------------------------------------------------------------------------------------------------------------------
