@@ -17,7 +17,9 @@ from granary.functions import granules as gr
 from granary.functions import paths as pth
 from granary.operators import feed, inventory, replay, reporting, routing
 from granary.plans import fixtures as fx
-from granary.session import configure
+from granary.session import configure, scratch_path
+from granary.streaming import monitor
+from granary.streaming import requeue as requeue_stream
 
 FEED_N = 50
 REDRIVE_LIMIT = 500
@@ -685,3 +687,76 @@ def object_uri_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = g.select(uri.alias("uri"))
     return u.select("uri", pth.uri_bucket("uri").alias("bucket"), pth.uri_key("uri").alias("key"),
                     pth.inventory_identifier("uri").alias("identifier"))
+
+
+# ---------------------------------------------------------------------------------------------------------------------
+# Streams (S9-S11, T1-T4, T7): fixture events land as files in a scratch folder of the shared checkpoint directory,
+# the stream drains them (availableNow, several micro-batches), and the query reads what the sinks hold.
+
+
+def _run_monitor(spark: SparkSession, sf_dir: str) -> monitor.MonitorSinks:
+    base = scratch_path(spark, "monitor")
+    incoming = f"{base}/incoming"
+    _events(spark, sf_dir).repartition(4).write.json(incoming)
+    sinks = monitor.MonitorSinks(f"{base}/log_events", f"{base}/retry", f"{base}/failure")
+    stream = monitor.read_state_changes(spark, incoming, max_files_per_trigger=1)
+    q = monitor.start_monitor(stream, sinks, f"{base}/_checkpoint", MAIN_QUEUE, JOB_DEFINITION, available_now=True)
+    q.awaitTermination()
+    return sinks
+
+
+@register("stream_monitor", _CLASSIFIED + """
+select id, granule_id, attempt, job_outcome2 job_outcome, outcome, seq arrival from routed
+""")
+def stream_monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monitor stream: the append-only log events it wrote (one row per terminal event of our queue)."""
+    sinks = _run_monitor(spark, sf_dir)
+    logs = spark.read.parquet(sinks.log_events)
+    return logs.select("id", "granule_id", "attempt", "job_outcome", "outcome", "arrival")
+
+
+@register("stream_monitor_queues", _CLASSIFIED + """
+select message_id, body, failure_type from queue_msgs
+""")
+def stream_monitor_queues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monitor stream: retry and failure table rows."""
+    sinks = _run_monitor(spark, sf_dir)
+    cols = ["message_id", "body", "failure_type"]
+    return spark.read.parquet(sinks.retry).select(*cols).unionByName(spark.read.parquet(sinks.failure).select(*cols))
+
+
+@register("stream_current_logs", _CLASSIFIED + """
+select granule_id, cur_outcome outcome, attempt, job_outcome2 job_outcome, seq arrival, nsucc from r_current
+""")
+def stream_current_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current log state as a view over the stream's append-only event table (success supersedes, in arrival order)."""
+    sinks = _run_monitor(spark, sf_dir)
+    events = spark.read.parquet(sinks.log_events).select("granule_id", "attempt", "job_outcome", "arrival")
+    current = replay.current_job_logs(events, order="arrival")
+    return current.select("granule_id", "outcome", "attempt", "job_outcome", "arrival", "nsucc")
+
+
+def _run_requeue(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    base = scratch_path(spark, "requeue")
+    incoming = f"{base}/retry"
+    _retry_input(spark, sf_dir).repartition(4).write.parquet(incoming)
+    requests, rejects = f"{base}/requests", f"{base}/failure"
+    stream = requeue_stream.read_retry_stream(spark, incoming, max_files_per_trigger=1)
+    q = requeue_stream.start_requeue(stream, requests, rejects, f"{base}/_checkpoint", OUTPUT_BUCKET, available_now=True)
+    q.awaitTermination()
+    return requests, rejects
+
+
+@register("stream_requeue", _CLASSIFIED + _REQUEUE_SQL)
+def stream_requeue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requeue stream: next-attempt work requests written for readable retry messages."""
+    requests, _ = _run_requeue(spark, sf_dir)
+    req = spark.read.parquet(requests)
+    return req.select("message_id", "granule_id", "attempt", "job_name", "target_bucket", env_text().alias("env"))
+
+
+@register("stream_requeue_rejects", _CLASSIFIED + _REJECTS_SQL)
+def stream_requeue_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requeue stream: unreadable messages set aside in the failure table."""
+    _, rejects = _run_requeue(spark, sf_dir)
+    return spark.read.parquet(rejects).select("message_id", "body", "failure_type")
