@@ -128,3 +128,12 @@ def lookup_events(
 def missing_events(requests: DataFrame, logs: DataFrame, key: str = "granule_id", attempt: str = "attempt") -> DataFrame:
     """Requests with no log under either outcome."""
     return requests.join(logs.select(key, attempt).distinct(), [key, attempt], "left_anti")
+
+
+def history_for(logs: DataFrame, granule_id: str, outcome: str | None = None, key: str = "granule_id") -> DataFrame:
+    """Attempt history of one granule, optionally for one outcome; on a log table partitioned by ``outcome`` the
+    outcome filter prunes folders."""
+    rows = logs.filter(F.col(key) == granule_id)
+    if outcome is not None:
+        rows = rows.filter(F.col("outcome") == outcome)
+    return attempt_history(rows, key=key)
