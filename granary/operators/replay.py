@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.functions.jobs import OUTCOME_FAILURE, OUTCOME_SUCCESS, SUCCESS
+from granary.functions.keys import HASH_COL, key_hash
 
 DEFAULT_BLOCK = 4096
 
@@ -50,17 +51,20 @@ def next_success(
     o = F.col(order)
     succ_order = F.when(F.col(job_outcome) == SUCCESS, o)
     block = _block(o, block_size)
+    h = HASH_COL
+    hashed = events.withColumn(h, key_hash(key)) if h not in events.columns else events
 
-    summary = events.select(key, block.alias("_blk"), succ_order.alias("_s")).groupBy(key, "_blk").agg(
+    summary = hashed.select(h, key, block.alias("_blk"), succ_order.alias("_s")).groupBy(h, key, "_blk").agg(
         F.min("_s").alias("_blk_succ")
     )
-    later = Window.partitionBy(key).orderBy("_blk").rowsBetween(1, Window.unboundedFollowing)
-    summary = summary.select(key, "_blk", F.min("_blk_succ").over(later).alias("_succ_later"))
+    later = Window.partitionBy(h, key).orderBy("_blk").rowsBetween(1, Window.unboundedFollowing)
+    summary = summary.select(h, key, "_blk", F.min("_blk_succ").over(later).alias("_succ_later"))
 
-    joined = events.withColumn("_blk", block).join(summary, [key, "_blk"], "inner")
-    inside = Window.partitionBy(key, "_blk").orderBy(o).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    joined = hashed.withColumn("_blk", block).join(summary, [h, key, "_blk"], "inner")
+    inside = Window.partitionBy(h, key, "_blk").orderBy(o).rowsBetween(Window.currentRow, Window.unboundedFollowing)
     nsucc = F.coalesce(F.min(succ_order).over(inside), F.col("_succ_later"))
-    return joined.withColumn("nsucc", nsucc).drop("_blk", "_succ_later")
+    out = joined.withColumn("nsucc", nsucc).drop("_blk", "_succ_later")
+    return out if h in events.columns else out.drop(h)
 
 
 def current_job_logs(
@@ -78,7 +82,8 @@ def current_job_logs(
     """
     if "outcome" in events.columns:
         events = events.drop("outcome")
-    with_next = next_success(events, key, order, job_outcome, block_size)
+    h = HASH_COL
+    with_next = next_success(events.withColumn(h, key_hash(key)), key, order, job_outcome, block_size)
     nsucc = F.col("nsucc")
     superseded = (F.col(job_outcome) != SUCCESS) & nsucc.isNotNull()
     write_order = F.struct(
@@ -87,11 +92,11 @@ def current_job_logs(
         F.col(order).alias("w2"),
     )
     outcome = F.when(nsucc.isNotNull(), F.lit(OUTCOME_SUCCESS)).otherwise(F.lit(OUTCOME_FAILURE))
-    payload_cols = [c for c in with_next.columns if c not in (key, attempt)]
+    payload_cols = [c for c in with_next.columns if c not in (key, attempt, h)]
     staged = with_next.select(
-        key, attempt, outcome.alias("outcome"), F.struct(*payload_cols).alias("_p"), write_order.alias("_w")
+        h, key, attempt, outcome.alias("outcome"), F.struct(*payload_cols).alias("_p"), write_order.alias("_w")
     )
-    picked = staged.groupBy(key, "outcome", attempt).agg(F.max_by("_p", "_w").alias("_p"))
+    picked = staged.groupBy(h, key, "outcome", attempt).agg(F.max_by("_p", "_w").alias("_p"))
     return picked.select(key, "outcome", attempt, *[F.col("_p").getField(c).alias(c) for c in payload_cols])
 
 
@@ -101,7 +106,8 @@ def attempt_history(logs: DataFrame, key: str = "granule_id", attempt: str = "at
     The lists hold one entry per log object of the granule, which is bounded by its attempts; a partial aggregate keeps
     the shuffle at one row per (granule, outcome) and map task.
     """
-    return logs.groupBy(key, "outcome").agg(F.sort_array(F.collect_list(attempt)).alias("attempts"))
+    grouped = logs.groupBy(key_hash(key).alias(HASH_COL), key, "outcome")
+    return grouped.agg(F.sort_array(F.collect_list(attempt)).alias("attempts")).drop(HASH_COL)
 
 
 def lookup_events(
@@ -113,9 +119,9 @@ def lookup_events(
     attempt is logged under neither outcome (the single-object lookup raises for those; ``missing_events`` lists them).
     ``logs`` is first reduced to one row per (granule, attempt) by a partial aggregate, so the join is one-to-one.
     """
-    best = logs.groupBy(key, attempt).agg(
+    best = logs.groupBy(key_hash(key).alias(HASH_COL), key, attempt).agg(
         F.max_by(F.struct(F.col("outcome"), F.col(payload)), F.col("outcome") == OUTCOME_SUCCESS).alias("_hit")
-    )
+    ).drop(HASH_COL)
     joined = requests.join(best, [key, attempt], "left")
     return joined.select(
         *[F.col(c) for c in requests.columns],

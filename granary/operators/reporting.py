@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from granary.functions import jobs, paths
 from granary.functions.jobs import OUTCOME_FAILURE, OUTCOME_SUCCESS
+from granary.functions.keys import HASH_COL, key_hash
 
 # The platforms and outcomes every dense report shows.
 PLATFORMS = ["L30", "S30"]
@@ -47,7 +48,7 @@ def latest_attempts(logs: DataFrame, with_year: bool = True) -> DataFrame:
     ]
     if with_year:
         aggs.append(F.date_trunc("year", F.min("acquisition_date")).alias("year"))
-    return logs.groupBy("granule_id").agg(*aggs)
+    return logs.groupBy(key_hash("granule_id").alias(HASH_COL), "granule_id").agg(*aggs).drop(HASH_COL)
 
 
 def overall_status(logs: DataFrame) -> DataFrame:
@@ -101,7 +102,7 @@ def failures_view(job_logs: DataFrame) -> DataFrame:
     ones; the partition filter on ``outcome`` prunes the success half of the log.
     """
     failed = job_logs.filter(F.col("outcome") == OUTCOME_FAILURE)
-    picked = failed.groupBy("granule_id").agg(
+    picked = failed.groupBy(key_hash("granule_id").alias(HASH_COL), "granule_id").agg(
         F.max_by(
             F.struct(
                 F.col("attempt"),
@@ -113,6 +114,7 @@ def failures_view(job_logs: DataFrame) -> DataFrame:
         F.min("platform").alias("platform"),
         F.min("acquisition_date").alias("_acq"),
     )
+    picked = picked.drop(HASH_COL)
     last = jobs.last_attempt(F.col("_n.tries"))
     return picked.select(
         F.lit(OUTCOME_FAILURE).alias("outcome"),
