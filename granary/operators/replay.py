@@ -43,27 +43,31 @@ def next_success(
     ``order`` must be numeric and unique within a key (a per-granule sequence number or an arrival time in ms);
     ``block_size`` is in its units.
 
-    Plan: (1) per ``(key, block)`` the first success, a partial aggregate over three columns, then a suffix minimum
-    over each key's later blocks (a window over one row per block); (2) events joined to their block's summary (AQE
-    broadcasts the summary when it is small) and a suffix-minimum window inside ``(key, block)``, which reuses the
-    join's partitioning when the join shuffles.
+    Plan: (1) a suffix-minimum window inside ``(key, block)`` (one exchange and one sort of the events; its size is
+    bounded by the block); (2) per ``(key, block)`` the first success, a partial aggregate over three columns, then a
+    suffix minimum over each key's later blocks (a window over one row per block); (3) the block summaries joined to
+    the window output. The window's output is already hash-partitioned and sorted on ``(key, block)``, so the join
+    shuffles and sorts only the summary side (or AQE broadcasts it when its measured size is small).
     """
     o = F.col(order)
     succ_order = F.when(F.col(job_outcome) == SUCCESS, o)
     block = _block(o, block_size)
     h = HASH_COL
     hashed = events.withColumn(h, key_hash(key)) if h not in events.columns else events
+    hashed = hashed.withColumn("_blk", block)
 
-    summary = hashed.select(h, key, block.alias("_blk"), succ_order.alias("_s")).groupBy(h, key, "_blk").agg(
+    inside = Window.partitionBy(h, key, "_blk").orderBy(o).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    windowed = hashed.withColumn("_succ_here", F.min(succ_order).over(inside))
+
+    summary = hashed.select(h, key, "_blk", succ_order.alias("_s")).groupBy(h, key, "_blk").agg(
         F.min("_s").alias("_blk_succ")
     )
     later = Window.partitionBy(h, key).orderBy("_blk").rowsBetween(1, Window.unboundedFollowing)
     summary = summary.select(h, key, "_blk", F.min("_blk_succ").over(later).alias("_succ_later"))
 
-    joined = hashed.withColumn("_blk", block).join(summary, [h, key, "_blk"], "inner")
-    inside = Window.partitionBy(h, key, "_blk").orderBy(o).rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    nsucc = F.coalesce(F.min(succ_order).over(inside), F.col("_succ_later"))
-    out = joined.withColumn("nsucc", nsucc).drop("_blk", "_succ_later")
+    joined = windowed.join(summary, [h, key, "_blk"], "inner")
+    nsucc = F.coalesce(F.col("_succ_here"), F.col("_succ_later"))
+    out = joined.withColumn("nsucc", nsucc).drop("_blk", "_succ_here", "_succ_later")
     return out if h in events.columns else out.drop(h)
 
 
