@@ -51,19 +51,66 @@ def latest_attempts(logs: DataFrame, with_year: bool = True) -> DataFrame:
     return logs.groupBy(key_hash("granule_id").alias(HASH_COL), "granule_id").agg(*aggs).drop(HASH_COL)
 
 
-def overall_status(logs: DataFrame) -> DataFrame:
-    """Granule count per platform and latest outcome."""
-    latest = latest_attempts(logs, with_year=False)
+def latest_from_events(
+    events: DataFrame,
+    key: str = "granule_id",
+    order: str = "seq",
+    attempt: str = "attempt",
+    job_outcome: str = "job_outcome",
+    with_year: bool = True,
+) -> DataFrame:
+    """Latest outcome per granule straight from the attempt history, without building the log state.
+
+    An attempt ends up under ``success`` exactly when it arrived no later than the granule's last success, so the
+    newest ``(attempt, is_success)`` over the current logs is ``max(2 * attempt + [order <= last_success])`` over the
+    events. Plan: the last success per granule (partial aggregate over three columns), joined back, then one
+    fixed-width hash aggregate per granule. ``platform`` and ``acquisition_date`` are taken from the granule's events
+    (they are functions of the granule ID). Equal to ``latest_attempts(replay.current_job_logs(events))``.
+    """
+    h = HASH_COL
+    hashed = events.withColumn(h, key_hash(key))
+    last = hashed.groupBy(h, key).agg(F.max(F.when(F.col(job_outcome) == "SUCCESS", F.col(order))).alias("_last"))
+    joined = hashed.join(last, [h, key], "inner")
+    in_success = F.coalesce(F.col(order) <= F.col("_last"), F.lit(False)).cast("bigint")
+    packed = F.col(attempt).cast("bigint") * 2 + in_success
+    aggs = [F.max(packed).alias("_p"), F.min("platform").alias("platform")]
+    if with_year:
+        aggs.append(F.date_trunc("year", F.min("acquisition_date")).alias("year"))
+    latest = joined.groupBy(h, key).agg(*aggs)
+    outcome = F.when(F.pmod("_p", F.lit(2)) == 1, F.lit(OUTCOME_SUCCESS)).when(
+        F.col("_p").isNotNull(), F.lit(OUTCOME_FAILURE)
+    )
+    cols = [key, outcome.alias("outcome"), "platform"] + (["year"] if with_year else [])
+    return latest.select(*cols)
+
+
+def status_counts(latest: DataFrame) -> DataFrame:
     return latest.groupBy("platform", "outcome").agg(F.count(F.lit(1)).alias("granule_count"))
 
 
-def progress_by_year(logs: DataFrame) -> DataFrame:
-    """Granule count per platform, latest outcome and acquisition year; newest year first."""
-    latest = latest_attempts(logs)
+def yearly_counts(latest: DataFrame) -> DataFrame:
     report = latest.groupBy("platform", "outcome", "year").agg(F.count(F.lit(1)).alias("granule_count"))
     return report.orderBy(F.col("year").desc(), F.col("platform").asc(), F.col("outcome").desc())
 
 
+def overall_status(logs: DataFrame) -> DataFrame:
+    """Granule count per platform and latest outcome, over log objects (the listing view or the log state)."""
+    return status_counts(latest_attempts(logs, with_year=False))
+
+
+def progress_by_year(logs: DataFrame) -> DataFrame:
+    """Granule count per platform, latest outcome and acquisition year; newest year first."""
+    return yearly_counts(latest_attempts(logs))
+
+
+def overall_status_from_events(events: DataFrame, order: str = "seq") -> DataFrame:
+    return status_counts(latest_from_events(events, order=order, with_year=False))
+
+
+def progress_by_year_from_events(events: DataFrame, order: str = "seq") -> DataFrame:
+    return yearly_counts(latest_from_events(events, order=order))
+
+
 def report_grid(report: DataFrame) -> DataFrame:
     """Every (year, platform, outcome) from the first to the last report year; counts are null where missing.
 

@@ -145,20 +145,25 @@ retry_input as (
 # Log replay and reports
 
 
+def _report_events(spark: SparkSession, sf_dir: str, with_date: bool = True) -> DataFrame:
+    cols = ["granule_id", "attempt", "job_outcome", "seq", "platform"] + (["acquisition_date"] if with_date else [])
+    return fx.job_events(spark, sf_dir).select(*cols)
+
+
 @register("progress_by_year", f"""
 select platform, outcome, year, count(*) granule_count from ({_LATEST}) t
 group by platform, outcome, year order by year desc, platform, outcome desc
 """)
 def progress_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagship: granule count per platform, latest outcome and acquisition year, from the replayed log."""
-    return reporting.progress_by_year(fx.current_logs(spark, sf_dir, extra=["platform", "acquisition_date"]))
+    """Flagship: granule count per platform, latest outcome and acquisition year, from the attempt history."""
+    return reporting.progress_by_year_from_events(_report_events(spark, sf_dir))
 
 
 @register("overall_status", f"""
 select platform, outcome, count(*) granule_count from ({_LATEST}) t group by platform, outcome
 """)
 def overall_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reporting.overall_status(fx.current_logs(spark, sf_dir, extra=["platform"]))
+    return reporting.overall_status_from_events(_report_events(spark, sf_dir, with_date=False))
 
 
 @register("current_job_logs", """
@@ -211,7 +216,7 @@ from grid g left join report r on g.year = r.year and g.platform = r.platform an
 """)
 def report_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense (year x platform x outcome) grid of the yearly report; missing cells are null."""
-    report = reporting.progress_by_year(fx.current_logs(spark, sf_dir, extra=["platform", "acquisition_date"]))
+    report = reporting.progress_by_year_from_events(_report_events(spark, sf_dir))
     return reporting.report_grid(report)
 
 
@@ -223,7 +228,7 @@ from report where outcome = 'success' group by year
 """)
 def report_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Success counts per year, one column per platform (chart data)."""
-    report = reporting.progress_by_year(fx.current_logs(spark, sf_dir, extra=["platform", "acquisition_date"]))
+    report = reporting.progress_by_year_from_events(_report_events(spark, sf_dir))
     return reporting.report_pivot(reporting.report_grid(report)).filter(
         F.col("L30").isNotNull() | F.col("S30").isNotNull()
     )
@@ -234,7 +239,7 @@ def report_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 select min(year) min_year, max(year) max_year from report
 """)
 def report_year_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reporting.year_bounds(reporting.progress_by_year(fx.current_logs(spark, sf_dir, extra=["platform", "acquisition_date"])))
+    return reporting.year_bounds(reporting.progress_by_year_from_events(_report_events(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------------------------------------------------------------

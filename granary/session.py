@@ -18,6 +18,9 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a skewed join partition even when that needs an extra shuffle after the join (the aggregates that follow
+    # our joins are partial, so a hot granule is then spread over tasks and combined map-side)
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 

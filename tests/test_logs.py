@@ -116,3 +116,24 @@ def test_attempt_file_name_and_lenient_view_columns(spark):
     assert [r.ok for r in df.select(pth.is_attempt_file("k").alias("ok")).collect()] == [True, False, False]
     miss = spark.createDataFrame([("logs/manifest.json",)], "key string").select(*pth.view_columns("key")).first()
     assert all(v is None for v in miss)  # null on a miss, never '' or a cast error
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 3),
+                          st.sampled_from(["SUCCESS", "FAILURE_RETRYABLE", "FAILURE_NONRETRYABLE"])),
+                min_size=1, max_size=30))
+def test_latest_from_events_equals_latest_over_log_state(spark, raw):
+    from pyspark.sql import functions as F
+
+    from granary.operators import reporting
+
+    counters = {}
+    rows = []
+    for g, a, o in raw:
+        counters[g] = counters.get(g, 0) + 1
+        rows.append((g, a, o, counters[g]))
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("platform", F.lit("S30")).withColumn(
+        "acquisition_date", F.lit("2024-01-01").cast("timestamp"))
+    direct = {(r.granule_id, r.outcome) for r in reporting.latest_from_events(df).collect()}
+    via_state = {(r.granule_id, r.outcome) for r in reporting.latest_attempts(replay.current_job_logs(df)).collect()}
+    assert direct == via_state
