@@ -99,7 +99,10 @@ def redrive_queue(failures: DataFrame, limit: int | None = None) -> tuple[DataFr
 
     Returns ``(moved, remaining)``; ``remaining`` is the failure table without the moved messages.
     """
-    moved = failures if limit is None else failures.orderBy("message_id").limit(limit)
+    if limit is None:
+        return failures, failures.limit(0)
+    # top-``limit`` by message id: each task keeps its best ``limit`` rows, so only limit x tasks rows meet
+    moved = failures.orderBy("message_id").limit(limit)
     remaining = failures.join(moved.select("message_id"), "message_id", "left_anti")
     return moved, remaining
 

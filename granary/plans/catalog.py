@@ -528,9 +528,14 @@ def queue_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Current outcome log of the monitored events, in the log table layout (with object keys)."""
+    """Current outcome log of the monitored events, in the log table layout (with object keys).
+
+    Only the last try of each job document is carried through the replay's shuffles: it is all the failure view
+    reads, and the full document (arrays of nested structs) would dominate the shuffled bytes.
+    """
     logs = routing.log_rows(_routed(spark, sf_dir), order="seq")
-    current = replay.current_job_logs(logs, order="seq")
+    last_try = F.struct(F.slice(F.col("job_info.attempts"), -1, 1).alias("attempts"))
+    current = replay.current_job_logs(logs.withColumn("job_info", last_try), order="seq")
     return routing.with_log_key(current, "logs")
 
 
@@ -575,12 +580,11 @@ def redrive_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _retry_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retry-table messages, some of them unreadable (not JSON) to exercise the reject path."""
-    routed = _routed(spark, sf_dir)
-    msgs = routing.queue_rows(routed.filter(F.col("route") == "retry"), "retry").join(
-        routed.select(F.col("id").alias("message_id"), "k", "granule_id"), "message_id"
+    retry = _routed(spark, sf_dir).filter(F.col("route") == "retry")
+    body = F.when(F.col("k") % 13 == 0, F.concat(F.lit("not-json "), F.col("granule_id"))).otherwise(
+        ev.event_to_json("granule_id", "attempt")
     )
-    body = F.when(F.col("k") % 13 == 0, F.concat(F.lit("not-json "), F.col("granule_id"))).otherwise(F.col("body"))
-    return msgs.select("message_id", body.alias("body"), "failure_type")
+    return retry.select(F.col("id").alias("message_id"), body.alias("body"), F.lit("RETRYABLE").alias("failure_type"))
 
 
 _REQUEUE_SQL = f"""

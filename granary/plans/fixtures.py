@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from granary.functions import events as ev
 from granary.operators.replay import current_job_logs
+from granary.session import ensure_checkpoint_dir
 
 SNAPSHOT_DTS = ["2025-06-01-01-00", "2025-06-02-01-00", "2025-06-03-01-00"]
 MAIN_QUEUE = "queue/main"
@@ -123,7 +124,17 @@ def current_logs(spark: SparkSession, sf_dir: str, extra: list[str] | None = Non
 
 
 def log_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three daily listings of the log prefix, with some non-log keys, old versions and delete markers."""
+    """Three daily listings of the log prefix, with some non-log keys, old versions and delete markers.
+
+    A listing is a stored table in production; here it is derived and then materialised with a reliable checkpoint
+    (shared checkpoint folder), so the view's ``max(dt)`` subquery and its main scan read stored rows instead of
+    replaying the log twice.
+    """
+    ensure_checkpoint_dir(spark)
+    return _log_snapshot(spark, sf_dir).checkpoint(eager=True)
+
+
+def _log_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = current_logs(spark, sf_dir, extra=["k", "platform", "ymd", "acquisition_date"])
     k = F.col("k")
     key = F.when(k % 97 == 0, F.lit("logs/manifest.json")).otherwise(
