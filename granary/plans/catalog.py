@@ -159,6 +159,15 @@ def progress_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reporting.progress_by_year_from_events(_report_events(spark, sf_dir))
 
 
+@register("progress_by_year_replayed", f"""
+select platform, outcome, year, count(*) granule_count from ({_LATEST}) t
+group by platform, outcome, year order by year desc, platform, outcome desc
+""")
+def progress_by_year_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The yearly report over the replayed log state (W1 -> A3 -> A5), the form used on stored log objects."""
+    return reporting.progress_by_year(fx.current_logs(spark, sf_dir, extra=["platform", "acquisition_date"]))
+
+
 @register("overall_status", f"""
 select platform, outcome, count(*) granule_count from ({_LATEST}) t group by platform, outcome
 """)
