@@ -64,8 +64,9 @@ def latest_from_events(
     An attempt ends up under ``success`` exactly when it arrived no later than the granule's last success, so the
     newest ``(attempt, is_success)`` over the current logs is ``max(2 * attempt + [order <= last_success])`` over the
     events. Plan: the last success per granule (partial aggregate over three columns), joined back, then one
-    fixed-width hash aggregate per granule. ``platform`` and ``acquisition_date`` are taken from the granule's events
-    (they are functions of the granule ID). Equal to ``latest_attempts(replay.current_job_logs(events))``.
+    fixed-width hash aggregate per granule. ``platform`` is part of the grouping key: in the log layout it is derived
+    from the granule ID, so it is a function of the key (and a string aggregate would force a sort-based aggregate).
+    Equal to ``latest_attempts(replay.current_job_logs(events))``.
     """
     h = HASH_COL
     hashed = events.withColumn(h, key_hash(key))
@@ -73,10 +74,10 @@ def latest_from_events(
     joined = hashed.join(last, [h, key], "inner")
     in_success = F.coalesce(F.col(order) <= F.col("_last"), F.lit(False)).cast("bigint")
     packed = F.col(attempt).cast("bigint") * 2 + in_success
-    aggs = [F.max(packed).alias("_p"), F.min("platform").alias("platform")]
+    aggs = [F.max(packed).alias("_p")]
     if with_year:
         aggs.append(F.date_trunc("year", F.min("acquisition_date")).alias("year"))
-    latest = joined.groupBy(h, key).agg(*aggs)
+    latest = joined.groupBy(h, key, "platform").agg(*aggs)
     outcome = F.when(F.pmod("_p", F.lit(2)) == 1, F.lit(OUTCOME_SUCCESS)).when(
         F.col("_p").isNotNull(), F.lit(OUTCOME_FAILURE)
     )
@@ -148,21 +149,17 @@ def failures_view(job_logs: DataFrame) -> DataFrame:
     ``granule_id, attempt, job_info`` and the object ``key``). One ``max_by`` over a struct replaces eight separate
     ones; the partition filter on ``outcome`` prunes the success half of the log.
     """
-    failed = job_logs.filter(F.col("outcome") == OUTCOME_FAILURE)
+    failed = job_logs.filter(F.col("outcome") == OUTCOME_FAILURE).select(
+        "granule_id", "attempt", "platform", "acquisition_date", "key",
+        jobs.last_attempt(F.col("job_info").getField("attempts")).alias("last_try"),
+    )
     picked = failed.groupBy(key_hash("granule_id").alias(HASH_COL), "granule_id").agg(
-        F.max_by(
-            F.struct(
-                F.col("attempt"),
-                F.col("job_info").getField("attempts").alias("tries"),
-                F.col("key"),
-            ),
-            F.col("attempt"),
-        ).alias("_n"),
+        F.max_by(F.struct("attempt", "last_try", "key"), F.col("attempt")).alias("_n"),
         F.min("platform").alias("platform"),
         F.min("acquisition_date").alias("_acq"),
     )
     picked = picked.drop(HASH_COL)
-    last = jobs.last_attempt(F.col("_n.tries"))
+    last = F.col("_n.last_try")
     return picked.select(
         F.lit(OUTCOME_FAILURE).alias("outcome"),
         "platform",
