@@ -117,3 +117,24 @@ def test_retention_keeps_recent_rows(spark):
                                "id int, ts timestamp")
     kept = reporting.retention(df, "ts", 14, as_of=F.lit(now)).collect()
     assert sorted(r.id for r in kept) == [1, 2]
+
+
+def test_parquet_log_layout_prunes_nested_fields(spark, scratch):
+    base = spark.createDataFrame([(G1, 0, "FAILURE_NONRETRYABLE", 1)],
+                                 "granule_id string, attempt int, job_outcome string, seq long")
+    tries = F.array(F.struct(F.struct(F.lit(1).alias("exitCode")).alias("container"),
+                             F.lit(1_745_369_330_058).cast("bigint").alias("startedAt")))
+    events = base.withColumn("job_info", F.struct(tries.alias("attempts"), F.lit("q").alias("jobQueue")))
+    layout = routing.log_rows(replay.current_job_logs(events))
+    joblogs.write_job_logs(layout, f"{scratch}/plogs", fmt="parquet")
+    logs = joblogs.read_job_logs(spark, f"{scratch}/plogs", fmt="parquet")
+    view = reporting.failures_view(logs)
+    assert view.first().exit_code == 1
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        view.explain("formatted")
+    read_schema = [line for line in buf.getvalue().splitlines() if line.startswith("ReadSchema")][0]
+    assert "jobQueue" not in read_schema and "attempts" in read_schema
