@@ -6,7 +6,7 @@ the shuffle, not one row per log object.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.functions import jobs, paths
@@ -58,21 +58,29 @@ def latest_from_events(
     attempt: str = "attempt",
     job_outcome: str = "job_outcome",
     with_year: bool = True,
+    block_size: int = 4096,
 ) -> DataFrame:
     """Latest outcome per granule straight from the attempt history, without building the log state.
 
     An attempt ends up under ``success`` exactly when it arrived no later than the granule's last success, so the
     newest ``(attempt, is_success)`` over the current logs is ``max(2 * attempt + [order <= last_success])`` over the
-    events. Plan: the last success per granule (partial aggregate over three columns), joined back, then one
-    fixed-width hash aggregate per granule. ``platform`` is part of the grouping key: in the log layout it is derived
-    from the granule ID, so it is a function of the key (and a string aggregate would force a sort-based aggregate).
-    Equal to ``latest_attempts(replay.current_job_logs(events))``.
+    events. Equal to ``latest_attempts(replay.current_job_logs(events))``.
+
+    Plan, safe for a granule holding a large share of all events: the arrival axis is cut into blocks (``block_size``
+    in ``order`` units, as in the replay); the last success per ``(granule, block)`` is a partial aggregate; the
+    granule's last success reaches each of its blocks through a window over block rows only; events join their block's
+    row on ``(granule, block)``, so a hot granule spreads over many join tasks; the per-granule result is a
+    fixed-width partial hash aggregate. ``platform`` is part of the grouping key: in the log layout it is derived from
+    the granule ID, so it is a function of the key (and a string aggregate would force a sort-based aggregate).
     """
     h = HASH_COL
-    hashed = events.withColumn(h, key_hash(key))
-    last = hashed.groupBy(h, key).agg(F.max(F.when(F.col(job_outcome) == "SUCCESS", F.col(order))).alias("_last"))
-    joined = hashed.join(last, [h, key], "inner")
-    in_success = F.coalesce(F.col(order) <= F.col("_last"), F.lit(False)).cast("bigint")
+    o = F.col(order)
+    hashed = events.withColumn(h, key_hash(key)).withColumn("_blk", F.floor(o / F.lit(block_size)).cast("bigint"))
+    blocks = hashed.groupBy(h, key, "_blk").agg(F.max(F.when(F.col(job_outcome) == "SUCCESS", o)).alias("_bl"))
+    whole = Window.partitionBy(h, key)
+    blocks = blocks.select(h, key, "_blk", F.max("_bl").over(whole).alias("_last"))
+    joined = hashed.join(blocks, [h, key, "_blk"], "inner")
+    in_success = F.coalesce(o <= F.col("_last"), F.lit(False)).cast("bigint")
     packed = F.col(attempt).cast("bigint") * 2 + in_success
     aggs = [F.max(packed).alias("_p")]
     if with_year:
