@@ -20,9 +20,6 @@ from pyspark.sql import functions as F
 from granary.functions import inventory as inv_fn
 from granary.session import ensure_checkpoint_dir
 
-SORT_DESCRIPTION = "start_datetime desc nulls last, granule_id asc"
-
-
 def inventory_order() -> list[Column]:
     return [F.col("start_datetime").desc_nulls_last(), F.col("granule_id").asc()]
 

@@ -20,10 +20,6 @@ from granary.sources import inventory as inv_src  # noqa: E402
 from granary.sources import joblogs, snapshot  # noqa: E402
 
 
-def plan_text(df) -> str:
-    return _explain(df)
-
-
 def _explain(df) -> str:
     import contextlib
     import io
