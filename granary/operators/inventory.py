@@ -49,8 +49,9 @@ def number_rows(
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     sort_cols = [F.col(g).asc() for g in group] + order
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+    # without an explicit count AQE may coalesce adjacent range partitions, which keeps the range order
+    ranged = df.repartitionByRange(num_partitions, *sort_cols) if num_partitions else df.repartitionByRange(*sort_cols)
+    ranged = ranged.sortWithinPartitions(*sort_cols)
     tagged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
     tagged = tagged.checkpoint(eager=True)
 

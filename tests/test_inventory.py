@@ -108,3 +108,19 @@ def test_monthly_layout_write(spark, scratch):
     src.write_monthly(inv.monthly_layout(converted), f"{scratch}/monthly")
     back = spark.read.parquet(f"{scratch}/monthly")
     assert sorted((r.year, r.month) for r in back.select("year", "month").collect()) == [(2022, 8), (2024, 8), (2025, 8)]
+
+
+def test_number_rows_with_aqe_coalesced_range_partitions(spark):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        base = spark.range(0, 3000).select(
+            F.lit("inv").alias("inventory"),
+            F.format_string("G%05d", "id").alias("granule_id"),
+            F.expr("timestamp_seconds(id * 86400)").alias("start_datetime"),
+        )
+        numbered = inv.number_rows(base, inv.inventory_order(), group=["inventory"])
+        got = sorted((r.inventory_seq, r.granule_id) for r in numbered.collect())
+        assert got == [(i, f"G{2999 - i:05d}") for i in range(3000)]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
