@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from granary.functions import events as ev
 from granary.operators.replay import current_job_logs
-from granary.session import ensure_checkpoint_dir
+from granary.session import scratch_path
 
 SNAPSHOT_DTS = ["2025-06-01-01-00", "2025-06-02-01-00", "2025-06-03-01-00"]
 MAIN_QUEUE = "queue/main"
@@ -126,12 +126,13 @@ def current_logs(spark: SparkSession, sf_dir: str, extra: list[str] | None = Non
 def log_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three daily listings of the log prefix, with some non-log keys, old versions and delete markers.
 
-    A listing is a stored table in production; here it is derived and then materialised with a reliable checkpoint
-    (shared checkpoint folder), so the view's ``max(dt)`` subquery and its main scan read stored rows instead of
-    replaying the log twice.
+    A listing is a stored, ``dt``-partitioned table in production; here it is derived, written as such a table in a
+    fresh folder under the shared checkpoint directory and read back, so the view's ``max(dt)`` subquery reads only
+    partition values and the main scan only the newest ``dt``.
     """
-    ensure_checkpoint_dir(spark)
-    return _log_snapshot(spark, sf_dir).checkpoint(eager=True)
+    path = scratch_path(spark, "log-snapshot")
+    _log_snapshot(spark, sf_dir).write.partitionBy("dt").parquet(path)
+    return spark.read.parquet(path)
 
 
 def _log_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
