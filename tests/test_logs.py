@@ -137,3 +137,11 @@ def test_latest_from_events_equals_latest_over_log_state(spark, raw):
     direct = {(r.granule_id, r.outcome) for r in reporting.latest_from_events(df).collect()}
     via_state = {(r.granule_id, r.outcome) for r in reporting.latest_attempts(replay.current_job_logs(df)).collect()}
     assert direct == via_state
+
+
+def test_history_for_one_granule_and_outcome(spark):
+    e = [(G, 0, "FAILURE_RETRYABLE", 1), (G, 1, "SUCCESS", 2), (G, 2, "FAILURE_NONRETRYABLE", 3),
+         ("other", 0, "FAILURE_NONRETRYABLE", 1)]
+    logs = replay.current_job_logs(spark.createDataFrame(e, SCHEMA))
+    assert {r.outcome: r.attempts for r in replay.history_for(logs, G).collect()} == {"success": [0, 1], "failure": [2]}
+    assert [r.attempts for r in replay.history_for(logs, G, "failure").collect()] == [[2]]

@@ -138,3 +138,14 @@ def test_parquet_log_layout_prunes_nested_fields(spark, scratch):
         view.explain("formatted")
     read_schema = [line for line in buf.getvalue().splitlines() if line.startswith("ReadSchema")][0]
     assert "jobQueue" not in read_schema and "attempts" in read_schema
+
+
+def test_progress_report_job_and_chart_data(spark, scratch):
+    from granary.plans import jobs
+
+    snapshot.write_snapshot(spark.createDataFrame(snapshot_rows(), SNAP_SCHEMA), f"{scratch}/snap")
+    report = jobs.progress_report(spark, f"{scratch}/snap", f"{scratch}/report.csv")
+    assert report.count() == 2
+    assert any(f.endswith(".csv") for f in os.listdir(f"{scratch}/report.csv"))
+    chart = jobs.chart_data(report).collect()
+    assert [(r.year.year, r.L30, r.S30) for r in chart] == [(2023, None, 1), (2024, None, None)]
