@@ -123,10 +123,11 @@ def lookup_events(
     attempt is logged under neither outcome (the single-object lookup raises for those; ``missing_events`` lists them).
     ``logs`` is first reduced to one row per (granule, attempt) by a partial aggregate, so the join is one-to-one.
     """
-    best = logs.groupBy(key_hash(key).alias(HASH_COL), key, attempt).agg(
+    h = HASH_COL
+    best = logs.groupBy(key_hash(key).alias(h), key, attempt).agg(
         F.max_by(F.struct(F.col("outcome"), F.col(payload)), F.col("outcome") == OUTCOME_SUCCESS).alias("_hit")
-    ).drop(HASH_COL)
-    joined = requests.join(best, [key, attempt], "left")
+    )
+    joined = requests.withColumn(h, key_hash(key)).join(best, [h, key, attempt], "left")
     return joined.select(
         *[F.col(c) for c in requests.columns],
         F.col("_hit.outcome").alias("outcome"),
@@ -137,7 +138,9 @@ def lookup_events(
 
 def missing_events(requests: DataFrame, logs: DataFrame, key: str = "granule_id", attempt: str = "attempt") -> DataFrame:
     """Requests with no log under either outcome."""
-    return requests.join(logs.select(key, attempt).distinct(), [key, attempt], "left_anti")
+    h = HASH_COL
+    logged = logs.select(key_hash(key).alias(h), key, attempt).distinct()
+    return requests.withColumn(h, key_hash(key)).join(logged, [h, key, attempt], "left_anti").drop(h)
 
 
 def history_for(logs: DataFrame, granule_id: str, outcome: str | None = None, key: str = "granule_id") -> DataFrame:
