@@ -19,6 +19,7 @@ from granary.operators import feed, inventory, replay, reporting, routing
 from granary.plans import fixtures as fx
 from granary.session import configure, scratch_path
 from granary.streaming import monitor
+from granary.streaming import replay_state
 from granary.streaming import requeue as requeue_stream
 
 FEED_N = 50
@@ -778,3 +779,28 @@ def stream_requeue_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requeue stream: unreadable messages set aside in the failure table."""
     _, rejects = _run_requeue(spark, sf_dir)
     return spark.read.parquet(rejects).select("message_id", "body", "failure_type")
+
+
+@register("stream_state_replay", _CLASSIFIED + """
+select granule_id, cur_outcome outcome, attempt, job_outcome2 job_outcome, seq arrival from r_current
+""")
+def stream_state_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log state kept as per-granule streaming state (T7, stateful form), fed in arrival order.
+
+    The monitored events are materialised once, then each arrival number (a TPC-H order has at most seven lines, so
+    at most seven groups) lands as new files and the stream is restarted from its checkpoint to consume them, so later
+    arrivals of a granule always reach its state after earlier ones and every restart recovers the state.
+    """
+    base = scratch_path(spark, "state-replay")
+    events = routing.log_rows(_routed(spark, sf_dir), order="seq").select(
+        "granule_id", "attempt", "job_outcome", F.col("seq").cast("bigint").alias("arrival")
+    ).checkpoint(eager=True)
+    last = events.agg(F.max("arrival")).first()[0] or 0
+    incoming, sink = f"{base}/incoming", f"{base}/emissions"
+    schema = "granule_id string, attempt int, job_outcome string, arrival bigint"
+    for arrival in range(1, int(last) + 1):
+        events.filter(F.col("arrival") == arrival).coalesce(2).write.mode("append").parquet(incoming)
+        stream = spark.readStream.schema(schema).parquet(incoming)
+        replay_state.start_state_replay(stream, sink, f"{base}/_checkpoint", available_now=True).awaitTermination()
+    current = replay_state.current_from_emissions(spark.read.parquet(sink))
+    return current.select("granule_id", "outcome", "attempt", "job_outcome", "arrival")
