@@ -7,7 +7,9 @@ so far under ``success`` at the same attempt number, overwriting what is there.
 attempt numbers, not by its number of events. In update mode each micro-batch emits the full current state of the
 granules it touched; the newest emission per granule is the current state. Events must arrive in arrival order
 across micro-batches (within a batch they are ordered by ``arrival``). On a cluster, use the RocksDB state store
-provider for large state.
+provider for large state. The events of one granule within one micro-batch are applied by one task, so for bulk
+backfills (history loaded at once) the view form, which splits hot granules into blocks, is the one to use; this form
+suits the steady trickle of state changes.
 """
 
 from __future__ import annotations
