@@ -115,19 +115,42 @@ def attempt_history(logs: DataFrame, key: str = "granule_id", attempt: str = "at
 
 
 def lookup_events(
-    requests: DataFrame, logs: DataFrame, key: str = "granule_id", attempt: str = "attempt", payload: str = "job_outcome"
+    requests: DataFrame,
+    logs: DataFrame,
+    key: str = "granule_id",
+    attempt: str = "attempt",
+    payload: str = "job_outcome",
+    hot_share: float = 0.001,
+    salts: int = 32,
 ) -> DataFrame:
     """Look up logged details for ``(granule, attempt)`` requests: the success log first, then the failure log.
 
     Every request row comes back once, with ``outcome`` and ``payload`` of the log found and ``found`` false when the
     attempt is logged under neither outcome (the single-object lookup raises for those; ``missing_events`` lists them).
     ``logs`` is first reduced to one row per (granule, attempt) by a partial aggregate, so the join is one-to-one.
+
+    Skew: request pairs holding at least ``hot_share`` of all requests are salted. Their requests spread over
+    ``salts`` join keys and only their log rows are replicated ``salts`` times. At most ``1 / hot_share`` pairs can be
+    hot, so that list has a proven bound and is broadcast.
     """
     h = HASH_COL
     best = logs.groupBy(key_hash(key).alias(h), key, attempt).agg(
         F.max_by(F.struct(F.col("outcome"), F.col(payload)), F.col("outcome") == OUTCOME_SUCCESS).alias("_hit")
     )
-    joined = requests.withColumn(h, key_hash(key)).join(best, [h, key, attempt], "left")
+    req = requests.withColumn(h, key_hash(key))
+    total = req.select(F.count(F.lit(1))).scalar()
+    hot = (
+        req.groupBy(h, key, attempt).agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") >= total * F.lit(hot_share))
+        .select(h, key, attempt, F.lit(True).alias("_hot"))
+    )
+    salt = F.when(F.col("_hot"), F.floor(F.rand(7) * salts).cast("int")).otherwise(F.lit(0))
+    req = req.join(F.broadcast(hot), [h, key, attempt], "left").withColumn("_salt", salt).drop("_hot")
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    best = best.join(F.broadcast(hot), [h, key, attempt], "left").select(
+        h, key, attempt, "_hit", F.explode(copies).alias("_salt")
+    )
+    joined = req.join(best, [h, key, attempt, "_salt"], "left")
     return joined.select(
         *[F.col(c) for c in requests.columns],
         F.col("_hit.outcome").alias("outcome"),
