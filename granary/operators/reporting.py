@@ -37,18 +37,19 @@ def processing_events_view(snapshot: DataFrame) -> DataFrame:
 def latest_attempts(logs: DataFrame, with_year: bool = True) -> DataFrame:
     """Per granule, the outcome of its newest attempt (success wins a tie on the attempt number).
 
-    Ties that remain (same attempt and outcome twice) are broken by ``last_modified_date`` when the input has it.
+    Only the outcome is needed, and rows tied on ``(attempt, is_success)`` carry the same outcome, so the pick is the
+    parity of ``max(2 * attempt + is_success)``: a fixed-width maximum instead of a ``max_by`` over a struct.
     """
-    order_fields = [F.col("attempt"), (F.col("outcome") == OUTCOME_SUCCESS)]
-    if "last_modified_date" in logs.columns:
-        order_fields.append(F.col("last_modified_date"))
-    aggs = [
-        F.max_by("outcome", F.struct(*order_fields)).alias("outcome"),
-        F.min("platform").alias("platform"),
-    ]
+    packed = F.col("attempt").cast("bigint") * 2 + (F.col("outcome") == OUTCOME_SUCCESS).cast("bigint")
+    aggs = [F.max(packed).alias("_p"), F.min("platform").alias("platform")]
     if with_year:
         aggs.append(F.date_trunc("year", F.min("acquisition_date")).alias("year"))
-    return logs.groupBy(key_hash("granule_id").alias(HASH_COL), "granule_id").agg(*aggs).drop(HASH_COL)
+    latest = logs.groupBy(key_hash("granule_id").alias(HASH_COL), "granule_id").agg(*aggs)
+    outcome = F.when(F.pmod("_p", F.lit(2)) == 1, F.lit(OUTCOME_SUCCESS)).when(
+        F.col("_p").isNotNull(), F.lit(OUTCOME_FAILURE)
+    )
+    cols = ["granule_id", outcome.alias("outcome"), "platform"] + (["year"] if with_year else [])
+    return latest.select(*cols)
 
 
 def latest_from_events(
