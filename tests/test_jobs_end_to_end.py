@@ -55,3 +55,14 @@ def test_monitor_logs_and_redrive(spark, scratch):
     assert logs.count() == want.count()
     n = jobs.redrive_from_logs(spark, f"{scratch}/logs", f"{scratch}/retry_redrive", 5)
     assert n == catalog.QUERIES["redrive_logs"](spark, SMALL_SF).count()
+
+
+def test_redrive_from_queue_job(spark, scratch):
+    from granary.sources import queues
+
+    failures = spark.createDataFrame([(f"m{i}", "{}", "NONRETRYABLE") for i in range(6)],
+                                     "message_id string, body string, failure_type string")
+    queues.append_batch(failures, f"{scratch}/failure", 0)
+    jobs.redrive_from_queue(spark, f"{scratch}/failure", f"{scratch}/retry", f"{scratch}/remaining", 1, limit=4)
+    assert sorted(r.message_id for r in queues.read_queue(spark, f"{scratch}/retry").collect()) == ["m0", "m1", "m2", "m3"]
+    assert sorted(r.message_id for r in spark.read.parquet(f"{scratch}/remaining").collect()) == ["m4", "m5"]
