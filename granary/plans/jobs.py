@@ -48,20 +48,21 @@ def run_feed(
     try:
         progress, version = prog.read_progress(spark, progress_path)
     except prog.ProgressNotFoundError:
-        version = create_tracking(spark, inventory_path, progress_path)
+        create_tracking(spark, inventory_path, progress_path)
         progress, version = prog.read_progress(spark, progress_path)
-    progress = progress.cache()
-    requests, new_progress = feed.feed_run(table, progress, summaries, n, max_active_jobs, output_bucket, debug_bucket)
-    if requests is None:
-        progress.unpersist()
-        return version
-    queues.append_batch(requests, requests_path, run_id)
-    if debug_bucket:
+    progress = progress.cache()  # one row per listing, read by the gate, the slice and the update
+    try:
+        requests, new_progress = feed.feed_run(
+            table, progress, summaries, n, max_active_jobs, output_bucket, debug_bucket
+        )
+        if requests is None:  # gate closed
+            return version
+        queues.append_batch(requests, requests_path, run_id)
+        if debug_bucket:  # debug runs never count as submitted
+            return version
+        return prog.update_progress(spark, progress_path, new_progress, version)
+    finally:
         progress.unpersist()
-        return version
-    stored = prog.update_progress(spark, progress_path, new_progress, version)
-    progress.unpersist()
-    return stored
 
 
 def materialize_current_logs(spark: SparkSession, events_path: str, logs_path: str, order: str = "arrival",
