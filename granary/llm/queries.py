@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import decontamination, packing, token_files
+from granary.llm import decontamination, packing, quality_rules, token_files
 from granary.session import configure, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,14 @@ def op5_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, path)
 
 
+@register("op8_quality_rules")
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, log-likelihood ratio and verdict for every document."""
+    rated = quality_rules.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"]
+    return rated.select("doc_id", *columns)
+
+
 @register("op10_pack")
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 4096 token ids, one row per piece."""
