@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import decontamination, packing, quality_rules, token_files
+from granary.llm import decontamination, packing, quality_rules, secrets, token_files
 from granary.session import configure, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,29 @@ def op5_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, path)
 
 
+_LISTED = "array_to_string([x.k || ':' || x.s || ':' || x.e for x in {0}], ',')"
+_OP6 = f"""
+select doc_id,
+ len([x for x in spans if x.n = 0]) n_assign, len([x for x in spans if x.n = 1]) n_access, len([x for x in spans if x.n = 2]) n_hex,
+ sha256({_LISTED.format("[y for y in spans if y.n < 3]")}) base_sha256, {_LISTED.format("spans")} spans
+from ({secrets.duckdb_spans("documents")})
+"""
+
+
+@register("op6_secrets", _OP6)
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: counts of the base kinds and all spans."""
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind_no"] < len(secrets.BASE_RULES))
+
+    def number(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [number(rule.kind) for rule in secrets.BASE_RULES]
+    digest = F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, secrets.listed(F.col("spans")).alias("spans"))
+
+
 @register("op8_quality_rules")
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, log-likelihood ratio and verdict for every document."""
