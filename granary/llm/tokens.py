@@ -8,7 +8,9 @@ reaches ``CACHE_WORDS`` entries, which bounds memory and changes no result.
 
 from __future__ import annotations
 
+import itertools
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,9 +19,14 @@ import pyarrow.compute as pc
 
 from granary.llm.textnp import slices
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
+SLICE_BYTES = 4 << 20
 DEFAULT_TOKENIZER = "word_bpe_49k.json"
 
+# Letters that normalising and splitting leave as they are: a run of them is one piece.
+_LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+_PLAIN = re.compile(f"[{_LETTERS}]+")
+
 _encoders: dict[str, "ChunkEncoder"] = {}
 
 
@@ -38,6 +45,9 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path(name))
+        # how the pre-tokenizer writes each of the letters that it and the normaliser leave alone
+        split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.letters = {ord(c): split(c)[0][0] for c in _LETTERS}
         self._clear()
 
     def _clear(self) -> None:
@@ -49,9 +59,18 @@ class ChunkEncoder:
 
     def _add(self, chunks: list[str]) -> None:
         """Encode chunks that the cache lacks and append their ids to the pool."""
-        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        encoded: list = [None] * len(chunks)
+        model, letters, other = self.tokenizer.model, self.letters, []
+        for k, chunk in enumerate(chunks):
+            if _PLAIN.fullmatch(chunk):  # one piece of the pre-tokenizer: straight to the model
+                encoded[k] = [t.id for t in model.tokenize(chunk if chunk.isascii() else chunk.translate(letters))]
+            else:
+                other.append(k)
+        whole = self.tokenizer.encode_batch_fast([chunks[k] for k in other], add_special_tokens=False)
+        for k, e in zip(other, whole, strict=True):
+            encoded[k] = e.ids
         lens = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        flat = np.fromiter((i for ids in encoded for i in ids), np.uint32, int(lens.sum()))
+        flat = np.fromiter(itertools.chain.from_iterable(encoded), np.uint32, int(lens.sum()))
         at, n = len(self.index), len(chunks)
         if at + n > len(self.starts):
             grow = max(at + n, 2 * len(self.starts))
@@ -79,7 +98,7 @@ class ChunkEncoder:
         """(ids uint32, offsets int64 of len(col) + 1) of a string column; null counts as empty."""
         lists = pc.ascii_split_whitespace(self._fold(col.fill_null("").cast(pa.string())))
         flat = lists.flatten().dictionary_encode()
-        chunks = flat.dictionary.to_pylist()
+        chunks = flat.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.index) + len(chunks) > CACHE_WORDS:
             self._clear()
         if missing := [c for c in chunks if c not in self.index]:
@@ -103,6 +122,6 @@ def encoder(name: str = DEFAULT_TOKENIZER) -> ChunkEncoder:
 def encode_documents(col: pa.Array, end_id: int, name: str = DEFAULT_TOKENIZER) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, ids, offsets) for slices of the column; every document's ids end with ``end_id``."""
     enc = encoder(name)
-    for i, j in slices(col):
+    for i, j in slices(col, SLICE_BYTES):
         ids, bounds = enc.encode(col.slice(i, j - i))
         yield i, np.insert(ids, bounds[1:], end_id).astype("<u4", copy=False), bounds + np.arange(j - i + 1)
