@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import decontamination, packing, quality_rules, secrets, token_files
-from granary.session import configure, scratch_path
+from granary.llm import decontamination, ngram_join, packing, quality_rules, secrets, token_files
+from granary.llm.settings import prepare
+from granary.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -17,7 +18,7 @@ ORACLE: dict[str, str] = {}
 def register(name: str, oracle: str | None = None):
     def wrap(fn: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            configure(spark)
+            prepare(spark)
             return fn(spark, sf_dir)
 
         run.__name__, run.__doc__ = fn.__name__, fn.__doc__
@@ -33,6 +34,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register("op2_ngram_join")
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group of near copies (its smallest doc_id) and the number of documents it is linked to."""
+    linked = ngram_join.link(table(spark, sf_dir, "documents"))
+    return linked.select("doc_id", "class_id", "n_links", "same_set_id")
+
+
 @register("op3_decontaminate")
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in windows of benchmark items, and the items whose windows occur."""
