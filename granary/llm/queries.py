@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import decontamination, ngram_join, packing, quality_rules, secrets, token_files
+from granary.llm import decontamination, language_id, ngram_join, packing, quality_rules, secrets, token_files
 from granary.llm.settings import prepare
 from granary.session import scratch_path
 
@@ -87,6 +87,15 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, digest, secrets.listed(F.col("spans")).alias("spans"))
 
 
+@register("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the documents outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_id.learn(language_id.training_rows(docs)))
+    held_out = language_id.fold(F.col("doc_id"), language_id.HELD_OUT_FOLDS) == language_id.HELD_OUT_FOLD
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @register("op8_quality_rules")
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, log-likelihood ratio and verdict for every document."""
