@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import decontamination, language_id, ngram_join, packing, quality_rules, secrets, token_files
+from granary.llm import decontamination, html_text, language_id, ngram_join, packing, quality_rules, secrets, token_files
 from granary.llm.settings import prepare
 from granary.session import scratch_path
 
@@ -104,6 +104,13 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.select("doc_id", *columns)
 
 
+@register("op9_html_text")
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_text.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @register("op10_pack")
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 4096 token ids, one row per piece."""
