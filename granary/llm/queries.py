@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import decontamination, html_text, language_id, ngram_join, packing, quality_rules, secrets, token_files
+from granary.llm import decontamination, html_text, language_id, ngram_join, ordinal, packing, quality_rules, secrets, token_files
 from granary.llm.settings import prepare
 from granary.session import scratch_path
 
@@ -34,6 +34,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register("op1_quality_classifier")
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade of every document, graded 0 (toxic), 1 (low quality) and 2 (good) by the labels."""
+    docs = table(spark, sf_dir, "documents")
+    grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2)
+    ratings = table(spark, sf_dir, "labels").select("doc_id", grade.alias("grade"))
+    return ordinal.classify(docs, ordinal.fit(docs, ratings, n_grades=3))
+
+
 @register("op2_ngram_join")
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's group of near copies (its smallest doc_id) and the number of documents it is linked to."""
