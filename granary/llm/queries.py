@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import decontamination, html_text, language_id, ngram_join, ordinal, packing, quality_rules, secrets, token_files
+from granary.llm import decontamination, html_text, language_id, ngram_join, ordinal, packing, pitman_yor, quality_rules, secrets, token_files
 from granary.llm.settings import prepare
 from granary.session import scratch_path
 
@@ -65,6 +66,25 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op4_pitman_yor")
+def op4_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document under the language model, next to that of smoothed word counts."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = language_id.fold(F.col("doc_id"), 7) == 2
+    shards = pitman_yor.number_of_shards(docs)
+    models, corpus = pitman_yor.train(docs.filter(~held_out).select("text"), shards)
+    base = F.col("base_sum") - F.col("n_tokens") * F.lit(math.log10(corpus.tokens + corpus.words + 1))
+    return pitman_yor.score(docs, models, corpus, shards).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(corpus.tokens).cast("long").alias("train_tokens"),
+        base.alias("base_score"),
+        "score",
+    )
+
+
 @register("op5_wavelet_tokens")
 def op5_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents in wavelet-matrix shards, read back from the files."""
