@@ -8,8 +8,9 @@ share one parent, the restaurant of single words, whose parent is uniform over t
 with customers c, tables t, their sums C and T per restaurant, discount d and strength a of the level. A child's tables
 are its parent's customers. Seating is sampled by Gibbs in blocks: a sweep re-seats the customers of every dish, given
 all others, by drawing its number of tables (what prediction needs of a seating) from the exact conditional with
-generalised Stirling numbers; dishes of more than ``EXACT`` customers are seated in turn, in growing groups. Probabilities
-are averaged over the sweeps after ``BURN_IN``. Discounts come from counts of counts.
+generalised Stirling numbers; dishes of more than ``EXACT`` customers are seated in turn, in growing groups (an
+approximation; their tables are few next to their customers, so it hardly shows in the probabilities). Probabilities are
+averaged over the sweeps after ``BURN_IN``. Discounts come from counts of counts.
 
 Distribution: everything about a word lives in its shard, chosen by the word's hash. Shards take part in a sweep at
 the same time with the sums C and T of the sweep before (as in approximate distributed Gibbs samplers); after it the new
@@ -50,7 +51,7 @@ CONTEXTS = 1 << 16
 BURN_IN = 1
 SAMPLES = 2
 STRENGTH = 1.0
-EXACT = 64  # customers of a dish up to which Stirling numbers are used
+EXACT = 256  # customers of a dish up to which Stirling numbers are used
 GROWTH = 1.05  # of the groups in which larger dishes are seated
 MIN_SHARDS = 32
 SHARD_TOKENS = 16_000_000
