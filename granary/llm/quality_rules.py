@@ -90,8 +90,11 @@ def repeated_words(two: Column) -> Column:
         steps = F.zip_with(at, _tail(at), lambda a, b: F.coalesce(F.least(b - a, F.lit(_WINDOW).cast("long")), F.lit(_WINDOW).cast("long")))
         return F.aggregate(steps, F.lit(0).cast("long"), lambda acc, x: acc + x)
 
-    windows = F.slice(_pairs(two), F.lit(1), F.greatest(F.size(two) - (_WINDOW - 1), F.lit(0)))
-    return let(let(let(windows, packed), positions), covered)
+    def counted(windows: Column) -> Column:
+        repeats = F.size(F.array_distinct(windows)) < F.size(windows)  # most texts have none and are done here
+        return F.when(repeats, let(let(packed(windows), positions), covered)).otherwise(F.lit(0).cast("long"))
+
+    return let(F.slice(_pairs(two), F.lit(1), F.greatest(F.size(two) - (_WINDOW - 1), F.lit(0))), counted)
 
 
 def base_counts(text: Column, words_: Column, two: Column) -> dict[str, Column]:
@@ -106,10 +109,13 @@ def base_counts(text: Column, words_: Column, two: Column) -> dict[str, Column]:
     }
 
 
-def _buckets(h: Column) -> Column:
-    """Buckets of the words and of the pairs (the last word's pair with nothing is left out)."""
-    pairs = F.slice(h["two"], F.lit(1), F.greatest(F.size(h["two"]) - 1, F.lit(0)))
-    return F.transform(F.concat(h["one"], pairs), lambda x: F.pmod(x, F.lit(BUCKETS)).cast("int"))
+def _grams(h: Column) -> Column:
+    """Hashes of the words and of the pairs (the last word's pair with nothing is left out)."""
+    return F.concat(h["one"], F.slice(h["two"], F.lit(1), F.greatest(F.size(h["two"]) - 1, F.lit(0))))
+
+
+def _bucket(gram: Column) -> Column:
+    return gram.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
 
 def trusted_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
@@ -125,9 +131,9 @@ def log_ratios(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", "text").join(F.broadcast(good), F.col("doc_id") == F.col("good_id"), "left")
     grams = rows.select(
         F.col("good_id").isNotNull().cast("long").alias("good"),
-        F.explode(let(hashes(words(F.col("text"))), _buckets)).alias("bucket"),
+        F.explode(let(hashes(words(F.col("text"))), _grams)).alias("gram"),
     )
-    counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("good").alias("trusted"))
+    counts = grams.groupBy(_bucket(F.col("gram")).alias("bucket")).agg(F.count(F.lit(1)).alias("raw"), F.sum("good").alias("trusted"))
     every = spark.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left")
     model = every.agg(  # BUCKETS rows
         F.sort_array(F.collect_list(F.struct("bucket", "raw", "trusted"))).alias("counts"),
@@ -143,12 +149,12 @@ def log_ratios(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return model.select(F.transform("counts", ratio).alias("ratios"))
 
 
-def _score(buckets: Column, ratios: Column) -> Column:
+def _score(grams: Column, ratios: Column) -> Column:
     def mean(x: Column) -> Column:
-        total = F.aggregate(x["b"], F.lit(0.0), lambda acc, b: acc + F.get(x["r"], b))
-        return F.when(F.size(x["b"]) > 0, total / F.size(x["b"])).otherwise(F.lit(0.0))
+        total = F.aggregate(x["g"], F.lit(0.0), lambda acc, g: acc + F.get(x["r"], _bucket(g)))
+        return F.when(F.size(x["g"]) > 0, total / F.size(x["g"])).otherwise(F.lit(0.0))
 
-    return let(F.struct(buckets.alias("b"), ratios.alias("r")), mean)
+    return let(F.struct(grams.alias("g"), ratios.alias("r")), mean)
 
 
 def judgement(text: Column, ratios: Column, threshold: float = THRESHOLD) -> Column:
@@ -156,7 +162,7 @@ def judgement(text: Column, ratios: Column, threshold: float = THRESHOLD) -> Col
 
     def judged(x: Column) -> Column:
         counts = base_counts(x["text"], x["words"], x["h"]["two"])
-        return F.struct(*(c.alias(k) for k, c in counts.items()), _score(_buckets(x["h"]), x["ratios"]).alias("score"))
+        return F.struct(*(c.alias(k) for k, c in counts.items()), _score(_grams(x["h"]), x["ratios"]).alias("score"))
 
     def verdict(c: Column) -> Column:
         repeats = F.lit(100) * c["n_repeat_words"] > F.lit(MAX_REPEAT_PERCENT) * c["n_words"]
