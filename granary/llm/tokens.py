@@ -19,8 +19,8 @@ import pyarrow.compute as pc
 
 from granary.llm.textnp import slices
 
-CACHE_WORDS = 800_000
-SLICE_BYTES = 4 << 20
+CACHE_WORDS = 500_000
+SLICE_BYTES = 2 << 20
 DEFAULT_TOKENIZER = "word_bpe_49k.json"
 
 # Letters that normalising and splitting leave as they are: a run of them is one piece.
