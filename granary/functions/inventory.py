@@ -62,8 +62,8 @@ def typed_line(line: Column | str, strict: bool = True) -> list[Column]:
         "published": F.col("_flag") == F.lit("t"),
     }
     if strict:
-        bad_line = F.raise_error(F.concat(F.lit("Could not parse line ("), v, F.lit(")")))
-        bad_dt = F.raise_error(F.concat(F.lit("Could not parse datetime in line ("), v, F.lit(")")))
+        bad_line = F.raise_error(F.concat(F.lit("Listing line has another form: "), v))
+        bad_dt = F.raise_error(F.concat(F.lit("Listing line has a start time of another form: "), v))
         fields["granule_id"] = F.when(ok, fields["granule_id"]).otherwise(bad_line)
         fields["start_datetime"] = F.when(dt_ok, parsed_ts).otherwise(bad_dt)
         return [c.alias(name) for name, c in fields.items()]
@@ -71,25 +71,6 @@ def typed_line(line: Column | str, strict: bool = True) -> list[Column]:
     return [F.when(good, c).alias(name) for name, c in fields.items()] + [good.alias("parse_ok")]
 
 
-def parse_line(line: Column | str, strict: bool = True) -> Column:
-    """Single-expression form of the parse (a struct); convenient for small inputs and tests."""
-    v = _c(line)
-    raw_dt = F.regexp_extract(v, INVENTORY_LINE_PATTERN, 2)
-    dt_text = normalised_datetime_text(raw_dt)
-    parsed_ts = F.try_to_timestamp(dt_text)
-    dt_ok = dt_text.isNull() | parsed_ts.isNotNull()
-    parsed = F.struct(
-        F.regexp_extract(v, INVENTORY_LINE_PATTERN, 1).alias("granule_id"),
-        parsed_ts.alias("start_datetime"),
-        F.regexp_extract(v, INVENTORY_LINE_PATTERN, 3).alias("status"),
-        (F.regexp_extract(v, INVENTORY_LINE_PATTERN, 4) == F.lit("t")).alias("published"),
-    )
-    ok = line_matches(v) & dt_ok
-    if strict:
-        return F.when(ok, parsed).otherwise(F.raise_error(F.concat(F.lit("Could not parse line ("), v, F.lit(")"))))
-    return F.when(ok, parsed)
-
-
 def year_month(ts: Column | str) -> list[Column]:
     """Partition columns of the staging layout, as small ints."""
     t = _c(ts)

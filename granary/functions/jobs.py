@@ -64,8 +64,7 @@ def last_attempt(attempts: Column | str) -> Column:
 def millis_to_timestamp(ms: Column | str) -> Column:
     """Epoch milliseconds to a timestamp truncated to whole seconds (integer division first)."""
     m = _c(ms).cast("bigint")
-    # m % 1000 keeps the dividend's sign, so this truncates toward zero like integer division
-    return F.timestamp_seconds(((m - m % 1000) / 1000).cast("bigint"))
+    return F.timestamp_seconds(F.call_function("div", m, F.lit(1000)))
 
 
 def route(job_outcome_name: Column | str, attempts: Column, max_allowed: Column) -> Column:

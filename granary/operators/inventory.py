@@ -5,9 +5,9 @@ Row order is data here (the feed walks row numbers), and Spark has no row order,
 
 1. range-partition and sort on ``(inventory, start_datetime desc nulls last, granule_id)``; the key is total, so a hot
    day or a hot listing spreads over many range partitions;
-2. tag each row with its partition id and ``monotonically_increasing_id`` and cut lineage with a reliable checkpoint,
-   so the tags are fixed data even if an executor is lost later;
-3. count rows per ``(partition, inventory)`` (a table of at most partitions + listings rows), turn the counts into
+2. tag each row with its partition id and ``monotonically_increasing_id`` and write the tagged rows as a Parquet table
+   in the shared checkpoint folder, so the tags are fixed data even if an executor is lost later;
+3. count rows per ``(partition, inventory)`` from two columns (a table of at most partitions + listings rows), turn the counts into
    offsets with a window over that small table, and join them back. AQE broadcasts the offsets when their measured
    size is small and falls back to a shuffle join otherwise.
 """
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.functions import inventory as inv_fn
-from granary.session import ensure_checkpoint_dir
+from granary.session import scratch_path
 
 def inventory_order() -> list[Column]:
     return [F.col("start_datetime").desc_nulls_last(), F.col("granule_id").asc()]
@@ -47,13 +47,14 @@ def number_rows(
     """Add a 0-based position of each row within its ``group`` under ``order`` (``order`` must be total)."""
     group = group or []
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     sort_cols = [F.col(g).asc() for g in group] + order
     # without an explicit count AQE may coalesce adjacent range partitions, which keeps the range order
     ranged = df.repartitionByRange(num_partitions, *sort_cols) if num_partitions else df.repartitionByRange(*sort_cols)
     ranged = ranged.sortWithinPartitions(*sort_cols)
     tagged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
-    tagged = tagged.checkpoint(eager=True)
+    path = scratch_path(spark, "numbered-rows")
+    tagged.write.parquet(path)
+    tagged = spark.read.schema(tagged.schema).parquet(path)
 
     stats = tagged.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -65,16 +66,25 @@ def number_rows(
     return numbered.withColumn(seq_col, seq).drop("_pid", "_mid", "_first", "_offset")
 
 
+def quarantine(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Good rows and bad lines of a parse that is not strict: ``(rows, lines)``, together all that was parsed."""
+    bad = parsed.filter(~F.col("parse_ok"))
+    keep = [c for c in ("inventory",) if c in parsed.columns]
+    return parsed.filter("parse_ok").drop("parse_ok", "value"), bad.select(*keep, "value")
+
+
 def convert_inventory(lines: DataFrame, strict: bool = True, num_partitions: int | None = None) -> DataFrame:
     """Listing lines ``(inventory, value)`` to completed rows, newest first, numbered per inventory.
 
+    Without ``strict`` only the good rows are converted; write the bad lines of ``quarantine`` beside them.
+
     Output: ``inventory, granule_id, start_datetime, status, published, inventory_seq``. The persisted form casts
     ``start_datetime`` to DATE (see ``sources.inventory.write_inventory``); the sort uses the full timestamp so the
     order is a refinement of day order and deterministic.
     """
     parsed = parse_inventory(lines, strict=strict)
     if not strict:
-        parsed = parsed.filter("parse_ok").drop("parse_ok", "value")
+        parsed, _ = quarantine(parsed)
     completed = parsed.filter(F.col("status") == inv_fn.COMPLETED)
     group = ["inventory"] if "inventory" in completed.columns else []
     return number_rows(completed, inventory_order(), group=group, num_partitions=num_partitions)

@@ -12,6 +12,9 @@ from granary.functions import events as ev
 from granary.functions import jobs
 from granary.functions import paths as pth
 from granary.functions.granules import acquisition_date, platform
+from granary.operators.inventory import number_rows
+
+_POSITION = "_position"
 
 # Fixed value: event source of the job scheduler's state changes.
 BATCH_SOURCE = "aws.batch"
@@ -60,6 +63,12 @@ def classify(events: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
+def split_named(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Events that name their granule and attempt, and the others."""
+    named = F.col("granule_id").isNotNull() & F.col("attempt").isNotNull()
+    return classified.filter(named), classified.filter(~named)
+
+
 def queue_rows(classified: DataFrame, route: str) -> DataFrame:
     """Messages for one queue table: ``message_id, body, failure_type``."""
     failure_type = jobs.FAILURE_TYPE_RETRYABLE if route == "retry" else jobs.FAILURE_TYPE_NONRETRYABLE
@@ -97,21 +106,21 @@ def with_log_key(logs: DataFrame, prefix: str = "logs") -> DataFrame:
 def redrive_queue(failures: DataFrame, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Move failure-table messages to the retry table: all of them, or the first ``limit`` by message id.
 
-    Returns ``(moved, remaining)``; ``remaining`` is the failure table without the moved messages.
+    Returns ``(moved, remaining)``, together exactly the input, also when messages share an id or are equal: rows get
+    their position in a total order once, as stored data, and both sides are filters on it.
     """
     if limit is None:
-        return failures, failures.limit(0)
-    # top-``limit`` by message id: each task keeps its best ``limit`` rows, so only limit x tasks rows meet
-    moved = failures.orderBy("message_id").limit(limit)
-    remaining = failures.join(moved.select("message_id"), "message_id", "left_anti")
-    return moved, remaining
+        return failures, failures.filter(F.lit(False))
+    order = [F.col(c).asc() for c in ("message_id", "body", "failure_type")]
+    numbered = number_rows(failures, order, seq_col=_POSITION)
+    return numbered.filter(F.col(_POSITION) < limit).drop(_POSITION), numbered.filter(F.col(_POSITION) >= limit).drop(_POSITION)
 
 
 def redrive_logs(failure_view: DataFrame, max_attempts: int = 3, limit: int | None = None) -> DataFrame:
     """Retry-table messages for failed granules whose newest attempt is below ``max_attempts`` (attempt kept)."""
     candidates = failure_view.filter(F.col("attempt") < max_attempts)
-    if limit is not None:
-        candidates = candidates.orderBy("granule_id").limit(limit)
+    if limit is not None:  # one row per granule, so the position is unique; nothing of the user's size meets in a task
+        candidates = number_rows(candidates, [F.col("granule_id").asc()], seq_col=_POSITION).filter(F.col(_POSITION) < limit)
     return candidates.select(
         "granule_id",
         "attempt",

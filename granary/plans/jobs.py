@@ -2,28 +2,37 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.operators import feed, inventory, replay, reporting, routing
-from granary.session import configure
+from granary.session import configure, delete_folder, list_folder
 from granary.sources import inventory as inv_src
 from granary.sources import joblogs, queues, snapshot
 from granary.sources import progress as prog
 
 
-def convert_inventories(spark: SparkSession, listings: list[str], destination: str, strict: bool = True) -> None:
-    """Listing text files to newest-first Parquet tables (one per listing) with ``inventory_seq``."""
+def convert_inventories(spark: SparkSession, listings: list[str], destination: str, rejects: str | None = None) -> None:
+    """Listing text files to newest-first Parquet tables (one per listing) with ``inventory_seq``.
+
+    A bad line fails the job, unless a ``rejects`` folder takes the bad lines (``inventory, value``).
+    """
     configure(spark)
-    converted = inventory.convert_inventory(inv_src.read_inventory_text(spark, listings), strict=strict)
+    lines = inv_src.read_inventory_text(spark, listings)
+    if rejects is not None:
+        _, bad = inventory.quarantine(inventory.parse_inventory(lines, strict=False))
+        bad.write.mode("overwrite").parquet(rejects)
+    converted = inventory.convert_inventory(lines, strict=rejects is None)
     inv_src.write_inventory(converted, destination)
 
 
 def create_tracking(spark: SparkSession, inventory_path: str, progress_path: str) -> int:
-    """Fresh progress records ``(inventory, 0, total)`` for every converted listing; fails if they exist already."""
+    """Discover the inventories, count their rows and write fresh progress records ``(inventory, 0, total)``, keyed by the
+    inventory's path; fails if progress exists already."""
     configure(spark)
-    table = inv_src.read_inventory(spark, inventory_path, ["inventory"])
-    return prog.create_progress(spark, progress_path, inventory.inventory_counts(table))
+    return prog.create_progress(spark, progress_path, inv_src.count_rows(inv_src.discover_inventories(spark, inventory_path)))
 
 
 def run_feed(
@@ -44,7 +53,8 @@ def run_feed(
     (at least once). In debug mode the progress is not stored.
     """
     configure(spark)
-    table = inv_src.read_inventory(spark, inventory_path, ["inventory", "inventory_seq", "granule_id", "status"])
+    table = inv_src.discover_inventories(spark, inventory_path)
+    table = table.select("inventory", "inventory_seq", "granule_id", "status")
     try:
         progress, version = prog.read_progress(spark, progress_path)
     except prog.ProgressNotFoundError:
@@ -57,7 +67,7 @@ def run_feed(
         )
         if requests is None:  # gate closed
             return version
-        queues.append_batch(requests, requests_path, run_id)
+        queues.append_batch(requests, requests_path, "feed", run_id)
         if debug_bucket:  # debug runs never count as submitted
             return version
         return prog.update_progress(spark, progress_path, new_progress, version)
@@ -69,12 +79,13 @@ def materialize_current_logs(spark: SparkSession, events_path: str, logs_path: s
                              block_size: int = 86_400_000) -> None:
     """Rewrite the log layout (``outcome=/platform=/acquisition_date=``) from the append-only event table.
 
-    Only the date folders present in the result are replaced (dynamic partition overwrite).
+    The rewrite is a new version of the whole log, so failures that were superseded since are gone from it.
     """
     configure(spark)
-    events = spark.read.parquet(events_path).drop("batch_id")
-    current = replay.current_job_logs(events.drop("platform", "acquisition_date"), order=order, block_size=block_size)
-    joblogs.write_job_logs(routing.log_rows(current), logs_path, mode="overwrite")
+    events = spark.read.parquet(events_path).drop("producer", "batch_id")
+    tie = "id" if "id" in events.columns else None
+    current = replay.current_job_logs(events.drop("platform", "acquisition_date"), order=order, block_size=block_size, tie=tie)
+    joblogs.rewrite_job_logs(routing.log_rows(current), logs_path)
 
 
 def progress_report(spark: SparkSession, snapshot_location: str, csv_path: str | None = None) -> DataFrame:
@@ -99,16 +110,35 @@ def redrive_from_logs(spark: SparkSession, logs_path: str, retry_path: str, run_
     msgs = routing.redrive_logs(view, max_attempts, limit).select(
         F.concat(F.lit(f"redrive-{run_id}-"), F.col("granule_id")).alias("message_id"), "body", "failure_type"
     )
-    queues.append_batch(msgs, retry_path, run_id)
-    return spark.read.parquet(f"{retry_path.rstrip('/')}/batch_id={run_id}").count()
+    queues.append_batch(msgs, retry_path, "redrive-logs", run_id)
+    return queues.read_batches(spark, retry_path, [("redrive-logs", run_id)]).count()
 
 
-def redrive_from_queue(spark: SparkSession, failure_path: str, retry_path: str, remaining_path: str, run_id: int,
-                       limit: int | None = None) -> None:
-    """Move failure-table messages (all, or the first ``limit``) to the retry table; the rest is written to
-    ``remaining_path`` as the new failure table."""
+def redrive_from_queue(spark: SparkSession, failure_path: str, retry_path: str, run_id: int, limit: int | None = None) -> None:
+    """Move failure-table messages (all, or the first ``limit``) to the retry table.
+
+    The batches that are there now are read; the moved messages are written to the retry table, then the rest as one
+    batch of the failure table, and then the batches that were read are dropped, so the failure table shrinks by what
+    was moved. Batches that producers add meanwhile are left alone. A run that was cut short is repeated with its
+    ``run_id``: it reads the same batches again and replaces its own (messages are moved at least once).
+    """
     configure(spark)
-    failures = queues.read_queue(spark, failure_path).drop("batch_id")
+    own = ("redrive-rest", run_id)
+    before = [b for b in queues.batches(spark, failure_path) if b != own]
+    failures = queues.read_batches(spark, failure_path, before).drop("producer", "batch_id")
     moved, remaining = routing.redrive_queue(failures, limit)
-    queues.append_batch(moved, retry_path, run_id)
-    remaining.write.mode("overwrite").parquet(remaining_path)
+    queues.append_batch(moved, retry_path, "redrive-queue", run_id)
+    queues.append_batch(remaining, failure_path, *own)
+    queues.drop_batches(spark, failure_path, before)
+
+
+def drop_old_listings(spark: SparkSession, location: str, keep_days: int = 14) -> list[str]:
+    """Retention of a ``dt=``-partitioned listing: drop partitions older than ``keep_days`` before the newest one."""
+    days = sorted(n.removeprefix("dt=") for n in list_folder(spark, location) if n.startswith("dt="))
+    if not days:
+        return []
+    oldest = dt.date.fromisoformat(days[-1][:10]) - dt.timedelta(days=keep_days)
+    dropped = [d for d in days if dt.date.fromisoformat(d[:10]) < oldest]
+    for day in dropped:
+        delete_folder(spark, f"{location.rstrip('/')}/dt={day}")
+    return dropped

@@ -48,7 +48,6 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings to a session that may have been built by someone else."""
     for key, value in SESSION_SETTINGS.items():
         spark.conf.set(key, value)
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -60,12 +59,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
-    local = os.environ.get("GRANARY_CHECKPOINT_DIR") or f"/tmp/granary-checkpoints-{uuid.uuid4().hex[:8]}"
+    local = os.environ.get("GRANARY_CHECKPOINT_DIR")
+    if local is None:
+        # executors of a cluster don't share a local folder: only a local master may fall back to one
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        local = f"/tmp/granary-checkpoints-{uuid.uuid4().hex[:8]}"
     sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
     return sc.getCheckpointDir() or local
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any Hadoop file system, sorted; empty if there is no such folder."""
+    files, folder = _folder(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(folder)) if files.exists(folder) else []
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    files, folder = _folder(spark, path)
+    files.delete(folder, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint directory for staged tables and stream state."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

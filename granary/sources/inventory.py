@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.functions import paths as pth
 
-# Fixed value: file-name pattern of parquet inventories under the inventories prefix.
-INVENTORY_GLOB = "*cumulus-rds-granules*.parquet"
+# Fixed value: what the path of a parquet inventory under the inventories prefix holds.
+INVENTORY_PATTERN = r"cumulus-rds-granules.*\.parquet$"
+_FOLDER = r"^(.*/inventory=[^/]+)/[^/]+$"
 
 
 def read_inventory_text(spark: SparkSession, paths: list[str] | str) -> DataFrame:
@@ -17,8 +18,18 @@ def read_inventory_text(spark: SparkSession, paths: list[str] | str) -> DataFram
     Input splits give bounded memory per task whatever the file sizes are; blank lines are dropped by the parser.
     """
     files = [paths] if isinstance(paths, str) else list(paths)
-    df = spark.read.text(files)
-    return df.select(pth.basename(F.col("_metadata.file_path")).alias("inventory"), "value")
+    df = spark.read.option("recursiveFileLookup", "true").text(files)
+    return df.select(inventory_name(F.col("_metadata.file_path")).alias("inventory"), "value")
+
+
+def inventory_path(file: Column) -> Column:
+    """Path of the inventory that a file belongs to: its ``inventory=`` folder, or the file itself."""
+    return F.coalesce(F.nullif(F.regexp_extract(file, _FOLDER, 1), F.lit("")), file)
+
+
+def inventory_name(file: Column) -> Column:
+    """Name of a file's inventory: the value of its ``inventory=`` folder, or the file's name."""
+    return F.regexp_replace(pth.basename(inventory_path(file)), "^inventory=", "")
 
 
 def read_inventory(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -27,16 +38,21 @@ def read_inventory(spark: SparkSession, path: str, columns: list[str] | None = N
     return df.select(*columns) if columns else df
 
 
-def discover_inventories(spark: SparkSession, prefix: str, glob: str = INVENTORY_GLOB) -> list[str]:
-    """Parquet inventory files under ``prefix`` (recursive), sorted as a listing is; from the file index, no scan."""
-    df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).parquet(prefix)
-    return sorted(df.inputFiles())
+def discover_inventories(spark: SparkSession, prefix: str, pattern: str = INVENTORY_PATTERN) -> DataFrame:
+    """Rows of all Parquet inventories under ``prefix`` (recursive) whose whole path matches the pattern.
+
+    ``inventory`` is the inventory's path, so equal names in different folders stay apart. The pattern is a filter on
+    file paths; nothing is listed to the driver beside Spark's own file index.
+    """
+    df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(prefix)
+    file = F.col("_metadata.file_path")
+    found = df.filter(inventory_path(file).rlike(pattern) | file.rlike(pattern))
+    return found.withColumn("inventory", inventory_path(file))
 
 
-def count_rows_per_file(spark: SparkSession, files: list[str]) -> DataFrame:
-    """``(inventory, 0, total)`` progress records, one per file (row counts from a scan of no columns)."""
-    df = spark.read.parquet(*files)
-    return df.groupBy(pth.basename(F.col("_metadata.file_path")).alias("inventory")).agg(
+def count_rows(inventories: DataFrame) -> DataFrame:
+    """``(inventory, 0, total)`` progress records, one per discovered inventory (a scan of no columns)."""
+    return inventories.groupBy("inventory").agg(
         F.lit(0).cast("bigint").alias("submitted_count"), F.count(F.lit(1)).alias("total_count")
     )
 
@@ -48,16 +64,11 @@ def write_inventory(df: DataFrame, path: str, as_date: bool = True, mode: str =
     number of files does not matter.
     """
     out = df.withColumn("start_datetime", F.col("start_datetime").cast("date")) if as_date else df
-    (
-        out.repartitionByRange("inventory", "inventory_seq")
-        .sortWithinPartitions("inventory", "inventory_seq")
-        .write.mode(mode)
-        .option("compression", "snappy")
-        .partitionBy("inventory")
-        .parquet(path)
-    )
+    # numbered rows come in order from a range partitioning already: sorting what each task holds is enough
+    out = out.sortWithinPartitions("inventory", "inventory_seq")
+    out.write.mode(mode).option("compression", "snappy").partitionBy("inventory").parquet(path)
 
 
 def write_monthly(df: DataFrame, path: str) -> None:
-    """Year/month partitioned staging layout, appended (new file names on every write)."""
-    df.write.mode("append").partitionBy("year", "month").parquet(path)
+    """Year/month partitioned staging layout, appended (new file names on every write); few files per month."""
+    df.hint("rebalance", "year", "month").write.mode("append").partitionBy("year", "month").parquet(path)

@@ -1,17 +1,17 @@
 """Progress table: NDJSON records under ``version=N`` folders; the highest version is current.
 
 Create only if absent; reading a missing table is an error; a write must name the version it read and fails if that
-is no longer the latest (one writer at a time, as the feed runs with concurrency 1). The folder of the new version
-is created with ``errorifexists``, so two writers that read the same version cannot both commit.
+is no longer the latest. That is a check before the write, not a lock: one writer at a time is assumed, as the feed runs
+with concurrency 1. A version counts when its write was completed; what a lost writer left of one is overwritten.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from granary.schemas import PROGRESS_SCHEMA
+from granary.sources.joblogs import versions
 
 
 class ProgressNotFoundError(FileNotFoundError):
@@ -22,16 +22,9 @@ class ProgressConflictError(RuntimeError):
     """The progress table moved on since it was read."""
 
 
-def _all_versions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(f"{PROGRESS_SCHEMA}, version bigint").option("basePath", path).json(path)
-
-
 def latest_version(spark: SparkSession, path: str) -> int | None:
-    try:
-        row = _all_versions(spark, path).agg(F.max("version")).first()
-    except AnalysisException:
-        return None
-    return None if row is None or row[0] is None else int(row[0])
+    found = versions(spark, path)
+    return found[-1] if found else None
 
 
 def read_progress(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
@@ -39,8 +32,7 @@ def read_progress(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
     version = latest_version(spark, path)
     if version is None:
         raise ProgressNotFoundError(f"No progress table at {path}")
-    df = _all_versions(spark, path).filter(F.col("version") == version).drop("version")
-    return df, version
+    return spark.read.schema(PROGRESS_SCHEMA).json(f"{path.rstrip('/')}/version={version}"), version
 
 
 def create_progress(spark: SparkSession, path: str, records: DataFrame) -> int:
@@ -67,4 +59,4 @@ def _write(records: DataFrame, path: str, version: int) -> None:
         F.col("submitted_count").cast("bigint"),
         F.col("total_count").cast("bigint"),
     )
-    out.coalesce(1).write.mode("errorifexists").json(f"{path.rstrip('/')}/version={version}")
+    out.coalesce(1).write.mode("overwrite").json(f"{path.rstrip('/')}/version={version}")

@@ -20,8 +20,9 @@ def read_snapshot(spark: SparkSession, location: str) -> DataFrame:
 def read_snapshot_manifests(spark: SparkSession, location: str, dt: str | None = None) -> DataFrame:
     """Listing named by per-``dt`` manifest files (``dt=.../symlink.txt``, one data file per line).
 
-    The newest ``dt`` is used unless one is given. The file names of that one listing come to the driver (a listing
-    is a bounded set of files), then the data files are read in parallel.
+    The newest ``dt`` is used unless one is given. The file names of that one listing come to the driver, where
+    Spark's own file index keeps them anyway (it lists and splits a scan's files there); other days' files are never
+    touched. The data files are read in parallel.
     """
     manifests = spark.read.text(f"{location.rstrip('/')}/dt=*/symlink.txt").select(
         F.regexp_extract(F.col("_metadata.file_path"), r"dt=([^/]+)/", 1).alias("dt"), F.col("value").alias("file")

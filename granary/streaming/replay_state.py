@@ -25,6 +25,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from granary.functions.keys import HASH_COL, key_hash
 from granary.sources.queues import append_batch
 
+PRODUCER = "state-replay"
+
 STATE_SCHEMA = "outcomes array<string>, attempts array<int>, arrivals array<bigint>, job_outcomes array<string>"
 OUTPUT_SCHEMA = "granule_id string, outcome string, attempt int, job_outcome string, arrival bigint"
 
@@ -62,7 +64,7 @@ def start_state_replay(events: DataFrame, sink: str, checkpoint: str, available_
         apply_events, OUTPUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout
     )
     writer = updates.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(
-        lambda df, bid: append_batch(df, sink, bid)
+        lambda df, bid: append_batch(df, sink, PRODUCER, bid)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
