@@ -40,8 +40,9 @@ def next_success(
 ) -> DataFrame:
     """Add ``nsucc``: the order value of the first success at or after each event of the same key (null if none).
 
-    ``order`` must be numeric and unique within a key (a per-granule sequence number or an arrival time in ms);
-    ``block_size`` is in its units.
+    ``order`` must be numeric (a per-granule sequence number or an arrival time in ms); ``block_size`` is in its units.
+    Events equal in it are simultaneous: a success supersedes what arrived no later than itself, whatever the input's
+    row order.
 
     Plan: (1) a suffix-minimum window inside ``(key, block)`` (one exchange and one sort of the events; its size is
     bounded by the block); (2) per ``(key, block)`` the first success, a partial aggregate over three columns, then a
@@ -56,7 +57,7 @@ def next_success(
     hashed = events.withColumn(h, key_hash(key)) if h not in events.columns else events
     hashed = hashed.withColumn("_blk", block)
 
-    inside = Window.partitionBy(h, key, "_blk").orderBy(o).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    inside = Window.partitionBy(h, key, "_blk").orderBy(o).rangeBetween(Window.currentRow, Window.unboundedFollowing)
     windowed = hashed.withColumn("_succ_here", F.min(succ_order).over(inside))
 
     summary = hashed.select(h, key, "_blk", succ_order.alias("_s")).groupBy(h, key, "_blk").agg(
@@ -78,9 +79,13 @@ def current_job_logs(
     attempt: str = "attempt",
     job_outcome: str = "job_outcome",
     block_size: int = DEFAULT_BLOCK,
+    tie: str | None = None,
 ) -> DataFrame:
     """One row per log object ``(key, outcome, attempt)`` with the content of the event that wrote it last.
 
+    Of simultaneous events the one with the largest ``tie`` (an event id) counts as the last; without it, the one with
+    the largest outcome name.
+
     Output: the input columns of the winning event, plus ``outcome`` (success / failure) and ``nsucc``. An input
     ``outcome`` column (the attempt's own outcome) is replaced by the current one.
     """
@@ -94,6 +99,7 @@ def current_job_logs(
         F.when(superseded, nsucc).otherwise(F.col(order)).alias("w0"),
         F.when(superseded, 1).otherwise(0).alias("w1"),
         F.col(order).alias("w2"),
+        F.col(tie or job_outcome).alias("w3"),
     )
     outcome = F.when(nsucc.isNotNull(), F.lit(OUTCOME_SUCCESS)).otherwise(F.lit(OUTCOME_FAILURE))
     payload_cols = [c for c in with_next.columns if c not in (key, attempt, h)]
@@ -120,37 +126,19 @@ def lookup_events(
     key: str = "granule_id",
     attempt: str = "attempt",
     payload: str = "job_outcome",
-    hot_share: float = 0.001,
-    salts: int = 32,
 ) -> DataFrame:
     """Look up logged details for ``(granule, attempt)`` requests: the success log first, then the failure log.
 
     Every request row comes back once, with ``outcome`` and ``payload`` of the log found and ``found`` false when the
     attempt is logged under neither outcome (the single-object lookup raises for those; ``missing_events`` lists them).
-    ``logs`` is first reduced to one row per (granule, attempt) by a partial aggregate, so the join is one-to-one.
-
-    Skew: request pairs holding at least ``hot_share`` of all requests are salted. Their requests spread over
-    ``salts`` join keys and only their log rows are replicated ``salts`` times. At most ``1 / hot_share`` pairs can be
-    hot, so that list has a proven bound and is broadcast.
+    ``logs`` is first reduced to one row per (granule, attempt) by a partial aggregate, so the join adds no rows; a
+    pair that many requests ask for is split by the adaptive skew join, as its log side is a single row.
     """
     h = HASH_COL
     best = logs.groupBy(key_hash(key).alias(h), key, attempt).agg(
         F.max_by(F.struct(F.col("outcome"), F.col(payload)), F.col("outcome") == OUTCOME_SUCCESS).alias("_hit")
     )
-    req = requests.withColumn(h, key_hash(key))
-    total = req.select(F.count(F.lit(1))).scalar()
-    hot = (
-        req.groupBy(h, key, attempt).agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") >= total * F.lit(hot_share))
-        .select(h, key, attempt, F.lit(True).alias("_hot"))
-    )
-    salt = F.when(F.col("_hot"), F.floor(F.rand(7) * salts).cast("int")).otherwise(F.lit(0))
-    req = req.join(F.broadcast(hot), [h, key, attempt], "left").withColumn("_salt", salt).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    best = best.join(F.broadcast(hot), [h, key, attempt], "left").select(
-        h, key, attempt, "_hit", F.explode(copies).alias("_salt")
-    )
-    joined = req.join(best, [h, key, attempt, "_salt"], "left")
+    joined = requests.withColumn(h, key_hash(key)).join(best, [h, key, attempt], "left")
     return joined.select(
         *[F.col(c) for c in requests.columns],
         F.col("_hit.outcome").alias("outcome"),

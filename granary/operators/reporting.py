@@ -6,7 +6,7 @@ the shuffle, not one row per log object.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions import jobs, paths
@@ -17,6 +17,8 @@ from granary.functions.keys import HASH_COL, key_hash
 PLATFORMS = ["L30", "S30"]
 OUTCOMES = ["success", "failure"]
 
+MAX_ARRIVAL = 1 << 44
+
 
 def current_snapshot(snapshot: DataFrame) -> DataFrame:
     """Rows of the newest listing (``dt = max(dt)``) that are live object versions.
@@ -59,7 +61,6 @@ def latest_from_events(
     attempt: str = "attempt",
     job_outcome: str = "job_outcome",
     with_year: bool = True,
-    block_size: int = 4096,
 ) -> DataFrame:
     """Latest outcome per granule straight from the attempt history, without building the log state.
 
@@ -67,29 +68,21 @@ def latest_from_events(
     newest ``(attempt, is_success)`` over the current logs is ``max(2 * attempt + [order <= last_success])`` over the
     events. Equal to ``latest_attempts(replay.current_job_logs(events))``.
 
-    Plan, safe for a granule holding a large share of all events: the arrival axis is cut into blocks (``block_size``
-    in ``order`` units, as in the replay); the last success per ``(granule, block)`` is a partial aggregate; the
-    granule's last success reaches each of its blocks through a window over block rows only; events join their block's
-    row on ``(granule, block)``, so a hot granule spreads over many join tasks; the per-granule result is a
-    fixed-width partial hash aggregate. ``platform`` is part of the grouping key: in the log layout it is derived from
-    the granule ID, so it is a function of the key (and a string aggregate would force a sort-based aggregate).
+    One partial hash aggregate: the newest attempt with its smallest arrival, and the last success; the granule stands at
+    success when that arrival is no later. A hot granule is combined map-side, nothing is joined or windowed. Attempt
+    and arrival share one long, so the aggregate stays hash-based: arrivals are below ``MAX_ARRIVAL`` (beyond the year
+    2500 in milliseconds), attempts below 2^19; what does not fit fails with an overflow. ``platform`` is part of the grouping key: in the log layout it
+    is derived from the granule ID, so it is a function of the key (and a string aggregate would force a sort).
     """
     h = HASH_COL
-    o = F.col(order)
-    hashed = events.withColumn(h, key_hash(key)).withColumn("_blk", F.floor(o / F.lit(block_size)).cast("bigint"))
-    blocks = hashed.groupBy(h, key, "_blk").agg(F.max(F.when(F.col(job_outcome) == "SUCCESS", o)).alias("_bl"))
-    whole = Window.partitionBy(h, key)
-    blocks = blocks.select(h, key, "_blk", F.max("_bl").over(whole).alias("_last"))
-    joined = hashed.join(blocks, [h, key, "_blk"], "inner")
-    in_success = F.coalesce(o <= F.col("_last"), F.lit(False)).cast("bigint")
-    packed = F.col(attempt).cast("bigint") * 2 + in_success
-    aggs = [F.max(packed).alias("_p")]
+    o = F.col(order).cast("bigint")
+    newest = F.col(attempt).cast("bigint") * MAX_ARRIVAL + (MAX_ARRIVAL - 1 - o)
+    aggs = [F.max(newest).alias("_p"), F.max(F.when(F.col(job_outcome) == "SUCCESS", o)).alias("_last")]
     if with_year:
         aggs.append(F.date_trunc("year", F.min("acquisition_date")).alias("year"))
-    latest = joined.groupBy(h, key, "platform").agg(*aggs)
-    outcome = F.when(F.pmod("_p", F.lit(2)) == 1, F.lit(OUTCOME_SUCCESS)).when(
-        F.col("_p").isNotNull(), F.lit(OUTCOME_FAILURE)
-    )
+    latest = events.withColumn(h, key_hash(key)).groupBy(h, key, "platform").agg(*aggs)
+    arrival = MAX_ARRIVAL - 1 - F.pmod("_p", F.lit(MAX_ARRIVAL))
+    outcome = F.when(arrival <= F.col("_last"), F.lit(OUTCOME_SUCCESS)).when(F.col("_p").isNotNull(), F.lit(OUTCOME_FAILURE))
     cols = [key, outcome.alias("outcome"), "platform"] + (["year"] if with_year else [])
     return latest.select(*cols)
 
@@ -136,15 +129,15 @@ def report_grid(report: DataFrame) -> DataFrame:
     ).select(
         "year", "platform", F.explode(F.array(*[F.lit(o) for o in OUTCOMES])).alias("outcome")
     )
-    return grid.join(F.broadcast(report), ["year", "platform", "outcome"], "left").select(
+    return grid.join(report, ["year", "platform", "outcome"], "left").select(
         "year", "platform", "outcome", "granule_count"
     )
 
 
 def report_pivot(grid: DataFrame) -> DataFrame:
-    """Success counts per year with one column per platform (the chart's data)."""
+    """Success counts per year with one column per platform (the chart's data); 0 where the report has none."""
     success = grid.filter(F.col("outcome") == OUTCOME_SUCCESS)
-    return success.groupBy("year").pivot("platform", PLATFORMS).agg(F.sum("granule_count"))
+    return success.groupBy("year").pivot("platform", PLATFORMS).agg(F.coalesce(F.sum("granule_count"), F.lit(0)))
 
 
 def year_bounds(report: DataFrame) -> DataFrame:
