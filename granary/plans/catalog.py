@@ -17,7 +17,11 @@ from granary.functions import granules as gr
 from granary.functions import paths as pth
 from granary.operators import feed, inventory, replay, reporting, routing
 from granary.plans import fixtures as fx
+from granary.plans import jobs
 from granary.session import configure, scratch_path
+from granary.sources import inventory as inv_src
+from granary.sources import joblogs, queues, snapshot
+from granary.sources import progress as prog
 from granary.streaming import monitor
 from granary.streaming import replay_state
 from granary.streaming import requeue as requeue_stream
@@ -231,17 +235,17 @@ def report_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("report_pivot", f"""
-{_REPORT}
-select year, cast(sum(case when platform = 'L30' then granule_count end) as bigint) "L30",
- cast(sum(case when platform = 'S30' then granule_count end) as bigint) "S30"
-from report where outcome = 'success' group by year
+{_REPORT},
+bounds as (select min(year) lo, max(year) hi from report),
+years as (select unnest(generate_series(lo, hi, interval 1 year)) as year from bounds)
+select y.year, cast(coalesce(sum(case when platform = 'L30' then granule_count end), 0) as bigint) "L30",
+ cast(coalesce(sum(case when platform = 'S30' then granule_count end), 0) as bigint) "S30"
+from years y left join report r on r.year = y.year and r.outcome = 'success' group by y.year
 """)
 def report_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Success counts per year, one column per platform (chart data)."""
+    """Success counts per year, one column per platform (chart data); every year from the first to the last one."""
     report = reporting.progress_by_year_from_events(_report_events(spark, sf_dir))
-    return reporting.report_pivot(reporting.report_grid(report)).filter(
-        F.col("L30").isNotNull() | F.col("S30").isNotNull()
-    )
+    return reporting.report_pivot(reporting.report_grid(report))
 
 
 @register("report_year_bounds", f"""
@@ -691,7 +695,7 @@ def event_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("object_uri_parts", r"""
 , u as (select case when k % 50 = 0 then 'file:///local/' || granule_id || '.txt'
-   else 's3://hls-' || lower(platform) || '/inventories/' || ymd || '/' || granule_id || '.txt' end uri from granule_ids)
+   else 's3://data-' || lower(platform) || '/inventories/' || ymd || '/' || granule_id || '.txt' end uri from granule_ids)
 select uri, nullif(regexp_extract(uri, '^s3://([^/]+)/(.*)$', 1), '') bucket,
  case when regexp_matches(uri, '^s3://([^/]+)/(.*)$') then regexp_extract(uri, '^s3://([^/]+)/(.*)$', 2) end key,
  string_split(uri, '/')[-1] identifier
@@ -700,7 +704,7 @@ from u
 def object_uri_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = fx.granule_ids(spark, sf_dir)
     uri = F.when(F.col("k") % 50 == 0, F.concat(F.lit("file:///local/"), "granule_id", F.lit(".txt"))).otherwise(
-        F.concat(F.lit("s3://hls-"), F.lower("platform"), F.lit("/inventories/"), "ymd", F.lit("/"), "granule_id",
+        F.concat(F.lit("s3://data-"), F.lower("platform"), F.lit("/inventories/"), "ymd", F.lit("/"), "granule_id",
                  F.lit(".txt"))
     )
     u = g.select(uri.alias("uri"))
@@ -710,15 +714,19 @@ def object_uri_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------------------------------------------------------------
 # Streams (S9-S11, T1-T4, T7): fixture events land as files in a scratch folder of the shared checkpoint directory,
-# the stream drains them (availableNow, several micro-batches), and the query reads what the sinks hold.
+# the stream drains them (availableNow), and the query reads what the sinks hold.
 
 
 def _run_monitor(spark: SparkSession, sf_dir: str) -> monitor.MonitorSinks:
     base = scratch_path(spark, "monitor")
     incoming = f"{base}/incoming"
-    _events(spark, sf_dir).repartition(4).write.json(incoming)
-    sinks = monitor.MonitorSinks(f"{base}/log_events", f"{base}/retry", f"{base}/failure")
-    stream = monitor.read_state_changes(spark, incoming, max_files_per_trigger=1)
+    _events(spark, sf_dir).write.json(incoming)
+    return _drain_monitor(spark, base, incoming)
+
+
+def _drain_monitor(spark: SparkSession, base: str, incoming: str) -> monitor.MonitorSinks:
+    sinks = monitor.MonitorSinks(f"{base}/log_events", f"{base}/retry", f"{base}/failure", f"{base}/rejects")
+    stream = monitor.read_state_changes(spark, incoming)
     q = monitor.start_monitor(stream, sinks, f"{base}/_checkpoint", MAIN_QUEUE, JOB_DEFINITION, available_now=True)
     q.awaitTermination()
     return sinks
@@ -758,9 +766,9 @@ def stream_current_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _run_requeue(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     base = scratch_path(spark, "requeue")
     incoming = f"{base}/retry"
-    _retry_input(spark, sf_dir).repartition(4).write.parquet(incoming)
+    _retry_input(spark, sf_dir).write.parquet(incoming)
     requests, rejects = f"{base}/requests", f"{base}/failure"
-    stream = requeue_stream.read_retry_stream(spark, incoming, max_files_per_trigger=1)
+    stream = requeue_stream.read_retry_stream(spark, incoming)
     q = requeue_stream.start_requeue(stream, requests, rejects, f"{base}/_checkpoint", OUTPUT_BUCKET, available_now=True)
     q.awaitTermination()
     return requests, rejects
@@ -785,22 +793,331 @@ def stream_requeue_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 select granule_id, cur_outcome outcome, attempt, job_outcome2 job_outcome, seq arrival from r_current
 """)
 def stream_state_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log state kept as per-granule streaming state (T7, stateful form), fed in arrival order.
+    """Log state kept as per-granule streaming state (T7, stateful form), from one ordered stream.
 
-    The monitored events are materialised once, then each arrival number (a TPC-H order has at most seven lines, so
-    at most seven groups) lands as new files and the stream is restarted from its checkpoint to consume them, so later
-    arrivals of a granule always reach its state after earlier ones and every restart recovers the state.
+    The history lands once and one stream drains it; within a micro-batch a granule's events are applied in arrival
+    order.
     """
     base = scratch_path(spark, "state-replay")
-    events = routing.log_rows(_routed(spark, sf_dir), order="seq").select(
-        "granule_id", "attempt", "job_outcome", F.col("seq").cast("bigint").alias("arrival")
-    ).checkpoint(eager=True)
-    last = events.agg(F.max("arrival")).first()[0] or 0
     incoming, sink = f"{base}/incoming", f"{base}/emissions"
-    schema = "granule_id string, attempt int, job_outcome string, arrival bigint"
-    for arrival in range(1, int(last) + 1):
-        events.filter(F.col("arrival") == arrival).coalesce(2).write.mode("append").parquet(incoming)
-        stream = spark.readStream.schema(schema).parquet(incoming)
-        replay_state.start_state_replay(stream, sink, f"{base}/_checkpoint", available_now=True).awaitTermination()
-    current = replay_state.current_from_emissions(spark.read.parquet(sink))
+    events = routing.log_rows(_routed(spark, sf_dir), order="seq")
+    events.select("granule_id", "attempt", "job_outcome", F.col("seq").cast("bigint").alias("arrival")).write.parquet(incoming)
+    stream = spark.readStream.schema("granule_id string, attempt int, job_outcome string, arrival bigint").parquet(incoming)
+    replay_state.start_state_replay(stream, sink, f"{base}/_checkpoint", available_now=True).awaitTermination()
+    current = replay_state.current_from_emissions(spark.read.parquet(sink).drop("producer"))
     return current.select("granule_id", "outcome", "attempt", "job_outcome", "arrival")
+
+
+# ---------------------------------------------------------------------------------------------------------------------
+# Shared queue tables, log rewrites and rejects
+
+_BODY = """'{"granule_id":"' || granule_id || '","attempt":' || cast(attempt as varchar) || ',"debug_bucket":null}'"""
+
+
+@register("queue_shared", _CLASSIFIED + f"""
+, rejects as (select message_id, body, failure_type from retry_input where not (json_valid(body) and body like '{{%')),
+failed as (select message_id, body, failure_type from queue_msgs where route = 'failure' union all select * from rejects),
+placed as (select *, row_number() over (order by message_id, body, failure_type) place from failed)
+select 'retry' queue, message_id, body, failure_type from queue_msgs where route = 'retry'
+union all select 'retry', message_id, body, failure_type from placed where place <= {REDRIVE_LIMIT}
+union all select 'retry', 'redrive-1-' || granule_id, {_BODY}, 'NONRETRYABLE' from failures where attempt < {MAX_ATTEMPTS}
+union all select 'failure', message_id, body, failure_type from placed where place > {REDRIVE_LIMIT}
+""")
+def queue_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monitor, requeue rejects and both re-drives write the same two queue tables; every message is in one of them."""
+    sinks = _run_monitor(spark, sf_dir)
+    base = scratch_path(spark, "queue-shared")
+    _retry_input(spark, sf_dir).write.parquet(f"{base}/incoming")
+    stream = requeue_stream.read_retry_stream(spark, f"{base}/incoming")
+    requeue_stream.start_requeue(
+        stream, f"{base}/requests", sinks.failure, f"{base}/_checkpoint", OUTPUT_BUCKET, available_now=True
+    ).awaitTermination()
+    _rewrite_logs(spark, sinks.log_events, f"{base}/logs")
+    jobs.redrive_from_logs(spark, f"{base}/logs", sinks.retry, run_id=1, max_attempts=MAX_ATTEMPTS)
+    jobs.redrive_from_queue(spark, sinks.failure, sinks.retry, run_id=1, limit=REDRIVE_LIMIT)
+    cols = ["message_id", "body", "failure_type"]
+    retry = queues.read_queue(spark, sinks.retry).select(F.lit("retry").alias("queue"), *cols)
+    return retry.unionByName(queues.read_queue(spark, sinks.failure).select(F.lit("failure").alias("queue"), *cols))
+
+
+def _by_month(logs: DataFrame) -> DataFrame:
+    """Log rows under the first day of their month: the test tables have a few rows a day, so folders of single days would
+    make the queries mostly create folders."""
+    return logs.withColumn("acquisition_date", F.concat(F.substring("acquisition_date", 1, 8), F.lit("01")))
+
+
+def _rewrite_logs(spark: SparkSession, events_path: str, logs_path: str) -> None:
+    events = spark.read.parquet(events_path).drop("producer", "batch_id", "platform", "acquisition_date")
+    current = replay.current_job_logs(events, order="arrival", tie="id")
+    joblogs.rewrite_job_logs(_by_month(routing.log_rows(current)), logs_path)
+
+
+@register("log_rewrite", _CLASSIFIED + """
+select granule_id, cur_outcome outcome, attempt, job_outcome2 job_outcome, platform, left(ymd, 8) || '01' acquisition_date
+from r_current
+""")
+def log_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored log after two rewrites with successes in between, read back: superseded failures are gone."""
+    base = scratch_path(spark, "log-rewrite")
+    rows = routing.log_rows(_routed(spark, sf_dir), order="seq").withColumnRenamed("seq", "arrival")
+    rows = rows.withColumn("id", F.col("job_info.jobId"))
+    for batch, part in enumerate((F.col("arrival") <= 2, F.col("arrival") > 2)):
+        queues.append_batch(rows.filter(part), f"{base}/events", "history", batch)
+        _rewrite_logs(spark, f"{base}/events", f"{base}/logs")
+    logs = joblogs.read_job_logs(spark, f"{base}/logs")
+    return logs.select("granule_id", "outcome", "attempt", "job_outcome", "platform", "acquisition_date")
+
+
+@register("job_log_files", _CLASSIFIED + """
+select granule_id, cur_outcome outcome, attempt, platform, left(ymd, 8) || '01' acquisition_date, job_outcome2 job_outcome,
+ 'outcome=' || cur_outcome || '/platform=' || platform || '/acquisition_date=' || left(ymd, 8) || '01' folder
+from r_current
+""")
+def job_log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log documents written to their folders and read back, with the folder from each document's path."""
+    path = scratch_path(spark, "job-log-files")
+    joblogs.write_job_logs(_by_month(_job_log(spark, sf_dir).drop("key")), path)
+    logs = joblogs.read_job_logs(spark, path)
+    folder = F.regexp_extract("key", "(outcome=.*)/[^/]+$", 1).alias("folder")
+    return logs.select("granule_id", "outcome", "attempt", "platform", "acquisition_date", "job_outcome", folder)
+
+
+@register("history_of_one", """
+select outcome, string_agg(cast(attempt as varchar), ',' order by attempt) attempts
+from current_logs where granule_id = (select min(granule_id) from current_logs) group by outcome
+""")
+def history_of_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attempt history of one granule, the first by name."""
+    logs = fx.current_logs(spark, sf_dir)
+    first = fx.granule_ids(spark, sf_dir).join(fx.job_events(spark, sf_dir).select("k").distinct(), "k", "left_semi")
+    history = replay.history_for(logs, first.agg(F.min("granule_id")).first()[0])
+    return history.select("outcome", F.array_join(F.transform("attempts", lambda a: a.cast("string")), ",").alias("attempts"))
+
+
+@register("stream_monitor_rejects", _CLASSIFIED + """
+select case when k % 29 = 0 then 'no JSON document' else 'no granule or attempt' end reason, id from (
+ select id, k, source, status, job_queue, job_definition from job_details) d
+where k % 29 = 0 or (k % 31 = 0 and source = 'aws.batch' and job_queue = 'queue/main'
+ and job_definition like '%processing%' and status in ('FAILED', 'SUCCEEDED'))
+union all
+select 'logged', id from routed where k % 29 <> 0 and k % 31 <> 0
+""")
+def stream_monitor_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monitor stream over events of which some are cut off and some name no attempt: logged or rejected, none lost."""
+    base = scratch_path(spark, "monitor-rejects")
+    nameless = F.transform("detail.container.environment", lambda e: e.withField("name", F.concat(F.lit("X_"), e["name"])))
+    container = F.when(F.col("k") % 31 == 0, F.col("detail.container").withField("environment", nameless)).otherwise(F.col("detail.container"))
+    events = _events(spark, sf_dir).withColumn("detail", F.col("detail").withField("container", container))
+    text = F.to_json(F.struct(*[c for c in events.columns if c != "k"]))
+    cut = F.concat(F.lit('{"id": "'), F.col("id"), F.lit('", "detail": {'))
+    events.select(F.when(F.col("k") % 29 == 0, cut).otherwise(text).alias("value")).write.text(f"{base}/incoming")
+    sinks = _drain_monitor(spark, base, f"{base}/incoming")
+    rejects = spark.read.schema("reason string, document string").parquet(sinks.rejects)
+    rejects = rejects.select("reason", F.regexp_extract("document", r'"id": ?"([^"]+)"', 1).alias("id"))
+    return rejects.unionByName(spark.read.parquet(sinks.log_events).select(F.lit("logged").alias("reason"), "id"))
+
+
+@register("redrive_all", _CLASSIFIED + """
+select message_id, body, failure_type from queue_msgs where route = 'failure'
+""")
+def redrive_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A re-drive without a limit moves every message."""
+    moved, remaining = routing.redrive_queue(routing.queue_rows(_routed(spark, sf_dir), "failure"))
+    return moved.unionByName(remaining)
+
+
+@register("redrive_duplicates", _CLASSIFIED + f"""
+, doubled as (select 'm-' || cast(k % 50 as varchar) message_id, body, failure_type from queue_msgs where route = 'failure'
+ union all select 'm-' || cast(k % 50 as varchar), body, failure_type from queue_msgs where route = 'failure' and k % 3 = 0)
+select message_id, body, failure_type,
+ row_number() over (order by message_id, body, failure_type) <= {REDRIVE_LIMIT} moved
+from doubled
+""")
+def redrive_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A re-drive with a limit over messages of which many share an id or are equal: moved and remaining are all."""
+    failed = _routed(spark, sf_dir).filter(F.col("route") == "failure")
+    body = ev.event_to_json("granule_id", "attempt").alias("body")
+    rows = failed.select(F.concat(F.lit("m-"), (F.col("k") % 50).cast("string")).alias("message_id"), body, F.lit("NONRETRYABLE").alias("failure_type"), "k")
+    doubled = rows.unionByName(rows.filter(F.col("k") % 3 == 0)).drop("k")
+    moved, remaining = routing.redrive_queue(doubled, REDRIVE_LIMIT)
+    return moved.withColumn("moved", F.lit(True)).unionByName(remaining.withColumn("moved", F.lit(False)))
+
+
+@register("redrive_logs_limit", _CLASSIFIED + f"""
+select granule_id, attempt from failures where attempt < {MAX_ATTEMPTS} order by granule_id limit {REDRIVE_LIMIT}
+""")
+def redrive_logs_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Re-drive from the failure view with a limit."""
+    view = reporting.failures_view(_job_log(spark, sf_dir))
+    return routing.redrive_logs(view, MAX_ATTEMPTS, REDRIVE_LIMIT).select("granule_id", "attempt")
+
+
+# ---------------------------------------------------------------------------------------------------------------------
+# Simultaneous events (W1, A3) and requests without a log
+
+_TIES = """
+, ties as (select *, (seq + 1) // 2 arrival, 'evt-' || cast(k as varchar) || '-' || cast(seq as varchar) id from job_events),
+t_replay as (
+ select *, min(case when job_outcome = 'SUCCESS' then arrival end) over (
+  partition by granule_id order by arrival range between current row and unbounded following) t_succ from ties),
+t_ranked as (
+ select *, case when t_succ is not null then 'success' else 'failure' end outcome,
+  row_number() over (partition by granule_id, t_succ is not null, attempt
+   order by case when job_outcome <> 'SUCCESS' and t_succ is not null then t_succ else arrival end desc,
+            case when job_outcome <> 'SUCCESS' and t_succ is not null then 1 else 0 end desc, arrival desc, id desc) place
+ from t_replay),
+t_current as (select * from t_ranked where place = 1)
+"""
+
+
+def _ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = fx.job_events(spark, sf_dir)
+    arrival = F.expr("(seq + 1) div 2").alias("arrival")
+    id_ = F.concat(F.lit("evt-"), F.col("k").cast("string"), F.lit("-"), F.col("seq").cast("string")).alias("id")
+    return e.select("granule_id", "attempt", "job_outcome", arrival, id_, "platform", "acquisition_date")
+
+
+@register("replay_ties", _TIES + """
+select granule_id, outcome, attempt, job_outcome, id from t_current
+""")
+def replay_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log state of events that arrive two at a time."""
+    current = replay.current_job_logs(_ties(spark, sf_dir), order="arrival", tie="id")
+    return current.select("granule_id", "outcome", "attempt", "job_outcome", "id")
+
+
+@register("progress_ties", _TIES + """
+, t_latest as (
+ select max_by(outcome, attempt * 10 + case outcome when 'success' then 1 else 0 end) outcome,
+  min(platform) platform, date_trunc('year', min(acquisition_date)) as year
+ from t_current group by granule_id)
+select platform, outcome, year, count(*) granule_count from t_latest group by platform, outcome, year
+""")
+def progress_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The yearly report straight from events that arrive two at a time; equal to the one over their log state."""
+    return reporting.progress_by_year_from_events(_ties(spark, sf_dir), order="arrival")
+
+
+@register("missing_events", """
+, req as (select granule_id, seq, attempt + case when seq % 5 = 0 then 1 else 0 end attempt from job_events)
+select r.granule_id, r.seq, r.attempt from req r
+where not exists (select 1 from current_logs c where c.granule_id = r.granule_id and c.attempt = r.attempt)
+""")
+def missing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests whose attempt is logged under neither outcome."""
+    attempt = (F.col("attempt") + F.when(F.col("seq") % 5 == 0, 1).otherwise(0)).alias("attempt")
+    requests = fx.job_events(spark, sf_dir).select("granule_id", "seq", attempt)
+    return replay.missing_events(requests, fx.current_logs(spark, sf_dir)).select("granule_id", "seq", "attempt")
+
+
+# ---------------------------------------------------------------------------------------------------------------------
+# Storage round trips: listings, inventories, discovery, listings of the log, progress and report files
+
+
+def _listing_files(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> str:
+    """Listing text files, one folder per inventory."""
+    path = scratch_path(spark, "listing-files")
+    rows = fx.raw_inventory(spark, sf_dir) if lines is None else lines
+    rows.select("inventory", "value").write.partitionBy("inventory").text(path)
+    return path
+
+
+@register("inventory_files", _PARSED_INVENTORY + """
+select inventory, granule_id, cast(start_datetime as date) start_datetime, status, published, inventory_seq from conv
+""")
+def inventory_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing files converted to inventory files by the job and read back."""
+    out = scratch_path(spark, "inventory-files")
+    jobs.convert_inventories(spark, [_listing_files(spark, sf_dir)], out)
+    return inv_src.read_inventory(spark, out, ["inventory", "granule_id", "start_datetime", "status", "published", "inventory_seq"])
+
+
+@register("inventory_quarantine", _PARSED_INVENTORY + """
+, spoilt as (
+ select inventory, replace(replace(value, ' failed f', ' failed x'), ':07:', ':xx:') line, r.value from raw_inventory r)
+select inventory, line like '% failed x' or line like '%:xx:%' is_bad, line from spoilt
+""")
+def inventory_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing files with bad flags and bad times: good rows and bad lines are all lines."""
+    line = F.regexp_replace(F.regexp_replace("value", " failed f", " failed x"), ":07:", ":xx:")
+    path = _listing_files(spark, sf_dir, fx.raw_inventory(spark, sf_dir).withColumn("value", line))
+    parsed = inventory.parse_inventory(inv_src.read_inventory_text(spark, path), strict=False)
+    good, bad = inventory.quarantine(parsed)
+    # the line of a good row again, from its columns
+    start = F.when(F.col("start_datetime").isNull(), F.lit("\\N")).otherwise(
+        F.concat(F.date_format("start_datetime", "yyyy-MM-dd'\\ 'HH:mm:ss"), F.when(F.date_format("start_datetime", "SSS") != "000", F.concat(F.lit("."), F.date_format("start_datetime", "SSS"))).otherwise(F.lit("")), F.lit("+00"))
+    )
+    again = F.concat_ws(" ", "granule_id", start, "status", F.when(F.col("published"), "t").otherwise("f"))
+    good = good.select("inventory", F.lit(False).alias("is_bad"), again.alias("line"))
+    return good.unionByName(bad.select("inventory", F.lit(True).alias("is_bad"), F.col("value").alias("line")))
+
+
+@register("inventory_monthly_files", _PARSED_INVENTORY + """
+select inventory, cast(year(start_datetime) as integer) "year", cast(month(start_datetime) as integer) "month", count(*) granule_count
+from conv group by all
+""")
+def inventory_monthly_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staging layout written by year and month, and read back."""
+    path = scratch_path(spark, "monthly")
+    inv_src.write_monthly(inventory.monthly_layout(_converted(spark, sf_dir)), path)
+    rows = spark.read.parquet(path).groupBy("inventory", "year", "month").agg(F.count(F.lit(1)).alias("granule_count"))
+    return rows.select("inventory", F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"), "granule_count")
+
+
+@register("feed_from_discovery", _PARSED_INVENTORY + f"""
+, every as (select *, row_number() over (partition by inventory order by start_datetime desc nulls last, granule_id) - 1 place from typed)
+select granule_id, 0 attempt, inventory, place inventory_seq from every
+where inventory = (select min(inventory) from every) and place < {REDRIVE_LIMIT} and status = 'completed'
+""")
+def feed_from_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inventories with rows of every status are written, discovered, counted, tracked and fed from."""
+    base = scratch_path(spark, "feed-from-discovery")
+    rows = inventory.parse_inventory(fx.raw_inventory(spark, sf_dir))
+    numbered = inventory.number_rows(rows, inventory.inventory_order(), group=["inventory"])
+    inv_src.write_inventory(numbered, f"{base}/inventories")
+    jobs.create_tracking(spark, f"{base}/inventories", f"{base}/progress")
+    progress, _ = prog.read_progress(spark, f"{base}/progress")
+    events, _ = feed.next_batch(inv_src.discover_inventories(spark, f"{base}/inventories"), progress, REDRIVE_LIMIT)
+    return events.select("granule_id", "attempt", inv_src.inventory_name(F.concat("inventory", F.lit("/part"))).alias("inventory"), "inventory_seq")
+
+
+@register("snapshot_manifests", """
+select key, is_latest, is_delete_marker, last_modified_date from log_snapshot where dt = (select max(dt) from log_snapshot)
+""")
+def snapshot_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A listing named by manifests, one per day; the newest day is read."""
+    base = scratch_path(spark, "snapshot-manifests")
+    snapshot.write_snapshot(fx.log_snapshot(spark, sf_dir).withColumn("bucket", F.lit("b")), f"{base}/data")
+    files = snapshot.read_snapshot(spark, f"{base}/data").select("dt", F.col("_metadata.file_path").alias("value")).distinct()
+    for day in fx.SNAPSHOT_DTS:  # the fixture's three days
+        files.filter(F.col("dt") == day).select("value").write.text(f"{base}/manifests/dt={day}/symlink.txt")
+    listing = snapshot.read_snapshot_manifests(spark, f"{base}/manifests")
+    return listing.select("key", "is_latest", "is_delete_marker", "last_modified_date")
+
+
+@register("progress_versions", _PARSED_INVENTORY + f"""
+select inventory, case when inventory = (select min(inventory) from counts) then least(3 * {FEED_N}, total_count) else 0 end submitted_count,
+ total_count, cast(3 as bigint) "version"
+from counts
+""")
+def progress_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The progress table after three feed runs: created, and moved on by three versions."""
+    path = scratch_path(spark, "progress-versions")
+    conv = _converted(spark, sf_dir)
+    prog.create_progress(spark, path, inventory.inventory_counts(conv))
+    for _ in range(3):
+        progress, version = prog.read_progress(spark, path)
+        prog.update_progress(spark, path, feed.next_batch(conv, progress, FEED_N)[1], version)
+    progress, version = prog.read_progress(spark, path)
+    return progress.withColumn("version", F.lit(version).cast("bigint"))
+
+
+@register("report_csv", f"""
+select platform, outcome, year, count(*) granule_count from ({_LATEST}) t group by platform, outcome, year
+""")
+def report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The yearly report as one CSV file, read back."""
+    path = scratch_path(spark, "report-csv")
+    queues.write_report_csv(reporting.progress_by_year_from_events(_report_events(spark, sf_dir)), path)
+    schema = "platform string, outcome string, year timestamp, granule_count bigint"
+    return spark.read.schema(schema).option("header", "true").csv(path)

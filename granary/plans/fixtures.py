@@ -19,22 +19,8 @@ MAIN_QUEUE = "queue/main"
 PROCESSING_DEFINITION = "processing"
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"), key)
-
-
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Spread an under-partitioned scan over all cores.
-
-    A single-file table with one row group scans as one task, and everything before the first shuffle would then run
-    on one core. When ``key`` is given the rows are hash-partitioned on it, so a later window or aggregate on that key
-    reuses this exchange. A scan of many files already has at least as many splits as cores, and then this is a
-    no-op (the split count comes from planning; nothing is executed).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key) if key else df.repartition(cores)
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _pad2(c: Column) -> Column:
@@ -94,7 +80,8 @@ def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One logged job attempt per line item, numbered in arrival order (``seq``) within its granule."""
-    li = _table(spark, sf_dir, "lineitem", key="l_orderkey")
+    # the window and the join below both want this partitioning
+    li = _table(spark, sf_dir, "lineitem").repartition("l_orderkey")
     g = granule_ids(spark, sf_dir).select("k", "granule_id", "platform", "acquisition_date", "ymd")
     arrival = Window.partitionBy("l_orderkey").orderBy(
         "l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount",

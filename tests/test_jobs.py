@@ -14,15 +14,15 @@ QUEUE = "arn:queue/main"
 DEFINITION = "ProcessingJobDef"
 
 
-def detail(exit_code, reason, n_attempts, max_attempts, granule="HLS.S30.T01GBH.2022226T214921.v2.0", attempt=0,
+def detail(exit_code, reason, n_attempts, max_attempts, granule="HLS.S30.T61XYZ.2021045T030405.v2.0", attempt=0,
            extra_env=()):
     tries = [
         {"container": {"exitCode": exit_code, "logStreamName": f"stream/{i}", "networkInterfaces": []},
-         "startedAt": 1745369059232 + i, "stoppedAt": 1745369330058 + i, "statusReason": reason}
+         "startedAt": 1_600_000_000_111 + i, "stoppedAt": 1_600_000_300_222 + i, "statusReason": reason}
         for i in range(n_attempts)
     ]
     container = {"environment": [{"name": "GRANULE_ID", "value": granule}, {"name": "ATTEMPT", "value": str(attempt)},
-                                 *extra_env], "vcpus": 2, "memory": 20000}
+                                 *extra_env], "vcpus": 1, "memory": 512}
     if exit_code is not None:
         container["exitCode"] = exit_code
     d = {"jobId": "job-1", "jobQueue": QUEUE, "status": "FAILED" if exit_code != 0 else "SUCCEEDED",
@@ -35,7 +35,7 @@ def detail(exit_code, reason, n_attempts, max_attempts, granule="HLS.S30.T01GBH.
 
 def envelope(d, source="aws.batch", event_id="e1"):
     return json.dumps({"version": "0", "id": event_id, "detail-type": "Batch Job State Change", "source": source,
-                       "account": "1", "time": "2025-04-23T19:01:54Z", "region": "us-west-2", "resources": [],
+                       "account": "1", "time": "2020-09-13T12:31:40Z", "region": "us-west-2", "resources": [],
                        "detail": d})
 
 
@@ -45,10 +45,10 @@ def events_df(spark, docs):
 
 
 CASES = {
-    "error": (detail(1, "Essential container in task exited", 1, 3), "FAILURE_NONRETRYABLE", 1, 3, 1),
-    "success": (detail(0, "Essential container in task exited", 1, 3), "SUCCESS", 1, 3, 0),
-    "spot": (detail(None, "Host EC2 (instance i-01225b700440f4809) terminated.", 3, 3), "FAILURE_RETRYABLE", 3, 3, None),
-    "cancelled": (detail(None, "Manually cancelling this job", 1, 3), "FAILURE_NONRETRYABLE", 1, 3, None),
+    "error": (detail(1, "container ended", 1, 3), "FAILURE_NONRETRYABLE", 1, 3, 1),
+    "success": (detail(0, "container ended", 1, 3), "SUCCESS", 1, 3, 0),
+    "spot": (detail(None, "Host EC2 gone (i-test)", 3, 3), "FAILURE_RETRYABLE", 3, 3, None),
+    "cancelled": (detail(None, "cancelled by hand", 1, 3), "FAILURE_NONRETRYABLE", 1, 3, None),
 }
 
 
@@ -58,7 +58,7 @@ def test_job_facts_and_outcome(spark):
     for name, (_d, outcome, attempts, max_attempts, code) in CASES.items():
         r = got[name]
         assert (r.job_outcome, r.job_attempts, r.max_attempts, r.exit_code) == (outcome, attempts, max_attempts, code)
-        assert r.granule_id == "HLS.S30.T01GBH.2022226T214921.v2.0" and r.attempt == 0 and r.job_id == "job-1"
+        assert r.granule_id == "HLS.S30.T61XYZ.2021045T030405.v2.0" and r.attempt == 0 and r.job_id == "job-1"
 
 
 def test_defaults_without_attempts_or_retry_strategy(spark):
@@ -71,10 +71,10 @@ def test_defaults_without_attempts_or_retry_strategy(spark):
 
 def test_routing_cases(spark):
     docs = [
-        envelope(detail(1, "Essential container in task exited", 1, 3), event_id="exit1"),
+        envelope(detail(1, "container ended", 1, 3), event_id="exit1"),
         envelope(detail(None, "Host EC2 (instance i-0) terminated.", 3, 3), event_id="spot-last"),
         envelope(detail(None, "Host EC2 (instance i-0) terminated.", 1, 3), event_id="spot-early"),
-        envelope(detail(0, "Essential container in task exited", 1, 3), event_id="ok"),
+        envelope(detail(0, "container ended", 1, 3), event_id="ok"),
     ]
     c = routing.classify(events_df(spark, docs))
     got = {r.id: (r.outcome, r.route) for r in c.collect()}
@@ -84,7 +84,7 @@ def test_routing_cases(spark):
     failure = routing.queue_rows(c, "failure").collect()
     assert [(r.message_id, r.failure_type) for r in retry] == [("spot-last", "RETRYABLE")]
     assert [(r.message_id, r.failure_type) for r in failure] == [("exit1", "NONRETRYABLE")]
-    assert json.loads(retry[0].body) == {"granule_id": "HLS.S30.T01GBH.2022226T214921.v2.0", "attempt": 0,
+    assert json.loads(retry[0].body) == {"granule_id": "HLS.S30.T61XYZ.2021045T030405.v2.0", "attempt": 0,
                                          "debug_bucket": None}
 
 

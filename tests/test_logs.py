@@ -34,7 +34,7 @@ def current(spark, events, block_size=replay.DEFAULT_BLOCK):
     return {(r.granule_id, r.outcome, r.attempt): r.seq for r in rows}
 
 
-G = "HLS.S30.T01GBH.2022226T214921.v2.0"
+G = "HLS.S30.T61XYZ.2021045T030405.v2.0"
 
 
 def test_fail_fail_success_then_fail(spark):
@@ -94,14 +94,14 @@ def test_replay_property(spark, raw):
 
 
 def test_log_key_roundtrip(spark):
-    df = spark.createDataFrame([("HLS.L30.T18VUJ.2024321T161235.v2.0", 2, "failure")],
+    df = spark.createDataFrame([("HLS.L30.T62XYZ.2024061T050607.v2.0", 2, "failure")],
                                "granule_id string, attempt int, outcome string")
     key = df.select(pth.log_key("logs/", "outcome", "granule_id", "attempt").alias("k")).first().k
-    assert key == ("logs/outcome=failure/platform=L30/acquisition_date=2024-11-16/"
-                   "granule_id=HLS.L30.T18VUJ.2024321T161235.v2.0/attempt=2.json")
+    assert key == ("logs/outcome=failure/platform=L30/acquisition_date=2024-03-01/"
+                   "granule_id=HLS.L30.T62XYZ.2024061T050607.v2.0/attempt=2.json")
     back = spark.createDataFrame([(key,)], "k string").select(pth.parse_log_key("k", "logs").alias("p")).first().p
     assert (back.outcome, back.platform, back.granule_id, back.attempt) == (
-        "failure", "L30", "HLS.L30.T18VUJ.2024321T161235.v2.0", 2)
+        "failure", "L30", "HLS.L30.T62XYZ.2024061T050607.v2.0", 2)
 
 
 def test_strict_parse_rejects_bad_key(spark):
