@@ -169,11 +169,10 @@ def judgement(text: Column, ratios: Column, threshold: float = THRESHOLD) -> Col
         failed = (c["n_words"] < MIN_WORDS) | repeats
         return c.withField("base_failed", failed).withField("kept", ~failed & (c["score"] >= threshold))
 
-    prepared = let(
-        F.struct(F.coalesce(text, F.lit("")).alias("text"), words(text).alias("words")),
-        lambda x: x.withField("h", hashes(x["words"])),
-    )
-    return let(let(prepared.withField("ratios", ratios), judged), verdict)
+    # structs are built from lambda variables only: a field added to an expression would repeat it for every field
+    given = F.struct(F.coalesce(text, F.lit("")).alias("text"), words(text).alias("words"), ratios.alias("ratios"))
+    prepared = let(given, lambda x: F.struct(x["text"].alias("text"), x["words"].alias("words"), x["ratios"].alias("ratios"), hashes(x["words"]).alias("h")))
+    return let(let(prepared, judged), verdict)
 
 
 _RATIOS = "__quality_rules_ratios"  # never a name of the caller's columns
