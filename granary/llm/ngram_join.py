@@ -10,7 +10,7 @@ reaches the threshold.
 2. ``candidate_members``: representatives are shuffled on their band hashes. A bucket is cut into blocks by total set
    size, and every two blocks of it form a group of bounded size; a group lists the members that have a candidate
    there. A pair counts in the first band that it shares only.
-3. ``verified_links``: only listed members get their sets (one join with the texts), once per group. A group compares
+3. ``verified_links``: only listed members get their sets, once per group; texts are not shuffled. A group compares
    its candidates exactly and gives per member the number of linked documents and its root in the group's links, so
    no pair is ever a row and no group is larger than two blocks.
 4. ``components``: large-star / small-star over the root links, in written rounds, until nothing changes.
@@ -42,6 +42,8 @@ THRESHOLD = 0.8
 TARGET_RECALL = 0.999
 MAX_HASHES = 64
 BLOCK_SHINGLES = 200_000
+BITMAP_BITS = 1 << 26
+_BITMAP_BYTES = 4096  # of Spark's bitmaps
 
 SKETCH = "row_id long, doc_id long, key_a long, key_b long, n_shingles long, bands array<long>"
 
@@ -148,20 +150,24 @@ def representatives(sketches: DataFrame) -> DataFrame:
 
 
 def candidate_groups(reps: DataFrame, block_shingles: int) -> DataFrame:
-    """Band buckets of two representatives or more, cut into pairs of blocks: ``group`` and the member's fields."""
-    members = reps.select("rep", "copies", "n_shingles", "bands", F.posexplode("bands").alias("band", "hash"))
-    sizes = members.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("weight"))
-    sizes = sizes.filter("n > 1").select("band", "hash", F.ceil(F.col("weight") / block_shingles).cast("int").alias("blocks"))
-    placed = members.join(sizes, ["band", "hash"]).withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+    """Band buckets of two representatives or more, cut into pairs of blocks: the group and the member's fields.
+
+    Only ids meet in the buckets (a band's hash holds its number, so it names the bucket); the band hashes follow for
+    the members of buckets that have company.
+    """
+    members = reps.select("rep", "n_shingles", F.explode("bands").alias("bucket"))
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("weight")).filter("n > 1")
+    sizes = sizes.select("bucket", F.ceil(F.col("weight") / block_shingles).cast("int").alias("blocks"))
+    placed = members.drop("n_shingles").join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
     # block x meets every block y once: the group of (x, y) and (y, x) is the same
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    rows = placed.select("rep", "copies", "n_shingles", "bands", "band", "hash", "block", other)
-    return rows.select(
-        "rep", "copies", "n_shingles", "bands", "block", "band", "hash", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
-    )
+    rows = placed.select("rep", "bucket", "block", other)
+    rows = rows.select("rep", "bucket", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    fields = reps.select("rep", "copies", "n_shingles", "bands")
+    return rows.join(fields, "rep").withColumn("band", (F.array_position("bands", F.col("bucket")) - 1).cast("int"))
 
 
-_GROUP = ["band", "hash", "low", "high"]
+_GROUP = ["bucket", "low", "high"]
 
 
 def _pairs(band: int, low: int, high: int, blocks: np.ndarray, n: np.ndarray, bands: np.ndarray, threshold: float) -> Iterator[tuple]:
@@ -197,29 +203,54 @@ def candidate_members(groups: DataFrame, threshold: float) -> DataFrame:
                 for i, others in _pairs(g["band"], g["low"], g["high"], blocks, n, bands, threshold):
                     linked.add(i)
                     linked.update(others.tolist())
-                rows += [(g["band"], g["hash"], g["low"], g["high"], m[i]["rep"]) for i in sorted(linked)]
-            kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
-            cols = list(zip(*rows, strict=True)) or [()] * 5
+                rows += [(g["bucket"], g["low"], g["high"], m[i]["rep"]) for i in sorted(linked)]
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+            cols = list(zip(*rows, strict=True)) or [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=[*_GROUP, "rep"])
 
     members = F.collect_list(F.struct("rep", "n_shingles", "bands", "block")).alias("members")
-    return groups.groupBy(*_GROUP).agg(members).mapInArrow(run, "band int, hash long, low int, high int, rep long")
+    held = groups.groupBy(*_GROUP).agg(F.first("band").alias("band"), members)
+    return held.mapInArrow(run, "bucket long, low int, high int, rep long")
+
+
+def id_bitmap(ids: DataFrame) -> np.ndarray:
+    """Bits, set where an id is congruent modulo ``BITMAP_BITS``: a filter of fixed size that no id fails."""
+    at = F.pmod(F.col("rep"), F.lit(BITMAP_BITS)) + 1  # Spark's bitmaps count from 1
+    rows = ids.select(F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("bit"))
+    rows = rows.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()  # 4 kB a row
+    out = np.zeros(BITMAP_BITS // 8, np.uint8)
+    for r in rows:
+        start = (r["bucket"] - 1) * _BITMAP_BYTES
+        out[start : start + _BITMAP_BYTES] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def _in_bitmap(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    at = ids % BITMAP_BITS
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
 def representative_sets(docs: DataFrame, listed: DataFrame, size: int) -> DataFrame:
-    """``rep`` and its sorted shingle hashes, for the listed representatives only."""
+    """``rep`` and its sorted shingle hashes, for the listed representatives only.
+
+    The texts stay where they are read: a bitmap of the listed ids tells which ones to cut into shingles. What a
+    shared bit lets through besides is left out by the join that follows.
+    """
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(id_bitmap(listed))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            wanted = np.flatnonzero(_in_bitmap(shared.value, np.asarray(batch.column(0))))
+            batch = batch.take(pa.array(wanted))
             for i, j in slices(batch.column(1)):
                 offsets, hashes = shingle_sets(batch.column(1).slice(i, j - i), size)
                 sets = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(hashes.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), sets], names=["rep", "shingles"])
 
-    wanted = listed.select(F.col("rep").alias("row_id")).distinct()
-    rows = source(docs).join(wanted, "row_id", "left_semi").select("row_id", "text")
-    # equal rows have equal ids: one of them is enough
-    return rows.mapInArrow(run, "rep long, shingles array<long>").groupBy("rep").agg(F.first("shingles").alias("shingles"))
+    rows = source(docs).select("row_id", "text").mapInArrow(run, "rep long, shingles array<long>")
+    rows = rows.join(listed.select("rep").distinct(), "rep", "left_semi")
+    return rows.groupBy("rep").agg(F.first("shingles").alias("shingles"))  # equal rows have equal ids: one is enough
 
 
 def _similar(sets: list[np.ndarray], threshold: float):
@@ -256,7 +287,8 @@ def verified_links(groups: DataFrame, members: DataFrame, sets: DataFrame, thres
 
     rows = groups.join(members, [*_GROUP, "rep"]).join(sets, "rep")
     held = F.collect_list(F.struct("rep", "copies", "n_shingles", "bands", "block", "shingles")).alias("members")
-    return rows.groupBy(*_GROUP).agg(held).mapInArrow(run, "rep long, root long, links long")
+    held = rows.groupBy(*_GROUP).agg(F.first("band").alias("band"), held)
+    return held.mapInArrow(run, "rep long, root long, links long")
 
 
 def _verify(g: dict, threshold: float) -> list[tuple[int, int, int]]:
