@@ -148,31 +148,38 @@ def failures_view(job_logs: DataFrame) -> DataFrame:
     """Newest failed attempt per granule, with the last try's exit code, times, reason and log stream.
 
     ``job_logs`` has the log layout columns (``outcome, platform, acquisition_date`` as partition values,
-    ``granule_id, attempt, job_info`` and the object ``key``). One ``max_by`` over a struct replaces eight separate
-    ones; the partition filter on ``outcome`` prunes the success half of the log.
+    ``granule_id, attempt, job_info`` and the object ``key``). One ``max_by`` over a struct of the last try's five values
+    and the key replaces eight separate ones; platform and date are functions of the granule, so they are part of the
+    grouping key. The partition filter on ``outcome`` prunes the success half of the log.
     """
+    last_try = jobs.last_attempt(F.col("job_info").getField("attempts"))
     failed = job_logs.filter(F.col("outcome") == OUTCOME_FAILURE).select(
-        "granule_id", "attempt", "platform", "acquisition_date", "key",
-        jobs.last_attempt(F.col("job_info").getField("attempts")).alias("last_try"),
+        "granule_id", "attempt", "platform", F.col("acquisition_date").alias("_acq"), "key", last_try.alias("_t")
     )
-    picked = failed.groupBy(key_hash("granule_id").alias(HASH_COL), "granule_id").agg(
-        F.max_by(F.struct("attempt", "last_try", "key"), F.col("attempt")).alias("_n"),
-        F.min("platform").alias("platform"),
-        F.min("acquisition_date").alias("_acq"),
+    newest = F.struct(
+        "attempt",
+        F.col("_t.container.exitCode").alias("exit_code"),
+        F.col("_t.startedAt").alias("started"),
+        F.col("_t.stoppedAt").alias("stopped"),
+        F.col("_t.statusReason").alias("reason"),
+        F.col("_t.container.logStreamName").alias("stream"),
+        "key",
+    )
+    failed = failed.select("granule_id", "platform", "_acq", "attempt", newest.alias("_n"))
+    picked = failed.groupBy(key_hash("granule_id").alias(HASH_COL), "granule_id", "platform", "_acq").agg(
+        F.max_by("_n", "attempt").alias("_n")
     )
-    picked = picked.drop(HASH_COL)
-    last = F.col("_n.last_try")
     return picked.select(
         F.lit(OUTCOME_FAILURE).alias("outcome"),
         "platform",
         F.to_timestamp(F.col("_acq"), "yyyy-MM-dd").alias("acquisition_date"),
         "granule_id",
         F.col("_n.attempt").alias("attempt"),
-        last.getField("container").getField("exitCode").alias("exit_code"),
-        jobs.millis_to_timestamp(last.getField("startedAt")).alias("started_at"),
-        jobs.millis_to_timestamp(last.getField("stoppedAt")).alias("stopped_at"),
-        last.getField("statusReason").alias("status_reason"),
-        last.getField("container").getField("logStreamName").alias("logstream_name"),
+        F.col("_n.exit_code").alias("exit_code"),
+        jobs.millis_to_timestamp(F.col("_n.started")).alias("started_at"),
+        jobs.millis_to_timestamp(F.col("_n.stopped")).alias("stopped_at"),
+        F.col("_n.reason").alias("status_reason"),
+        F.col("_n.stream").alias("logstream_name"),
         F.col("_n.key").alias("key"),
     )
 

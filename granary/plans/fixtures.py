@@ -101,6 +101,7 @@ def job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_LISTINGS: dict[tuple[str, str], str] = {}
 REPLAY_COLUMNS = ["granule_id", "attempt", "job_outcome", "seq"]
 
 
@@ -117,9 +118,13 @@ def log_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     fresh folder under the shared checkpoint directory and read back, so the view's ``max(dt)`` subquery reads only
     partition values and the main scan only the newest ``dt``.
     """
-    path = scratch_path(spark, "log-snapshot")
-    _log_snapshot(spark, sf_dir).write.partitionBy("dt").parquet(path)
-    return spark.read.parquet(path)
+    # staged once per session and input: the queries over it then read a stored listing, as in production
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LISTINGS:
+        path = scratch_path(spark, "log-snapshot")
+        _log_snapshot(spark, sf_dir).write.partitionBy("dt").parquet(path)
+        _LISTINGS[key] = path
+    return spark.read.parquet(_LISTINGS[key])
 
 
 def _log_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
