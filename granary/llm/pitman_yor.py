@@ -55,7 +55,7 @@ EXACT = 256  # customers of a dish up to which Stirling numbers are used
 GROWTH = 1.05  # of the groups in which larger dishes are seated
 MIN_SHARDS = 32
 SHARD_TOKENS = 16_000_000
-BATCH_TOKENS = 1_500_000
+BATCH_TOKENS = 1_000_000
 SEED = 7
 
 END = np.uint64(0x5DEECE66D1CE4E5B)
@@ -153,24 +153,23 @@ def _shard_ranges(words: np.ndarray, shards: int) -> np.ndarray:
 # -- counts -----------------------------------------------------------------------------------------------------------
 
 
-def _unique_pairs(words: np.ndarray, contexts: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+def _by_key(distinct: np.ndarray, key: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, ...]:
     """(distinct words ascending, pairs per word, contexts and counts of the pairs by word and context)."""
-    distinct, code = np.unique(words, return_inverse=True)
-    key = code.astype(np.int64) * CONTEXTS + contexts
-    if counts is None:
-        key = np.sort(key)
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
-        sums = np.diff(np.append(first, len(key)))
-        key = key[first]
-    else:
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
-        sums = np.add.reduceat(counts[order], first) if len(key) else np.empty(0, np.int64)
-        key = key[first]
     return distinct, np.bincount(key // CONTEXTS, minlength=len(distinct)), key % CONTEXTS, sums
 
 
+def _starts(key: np.ndarray) -> np.ndarray:
+    """Where each value of a sorted array begins."""
+    return np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
+
+
+def _unique_pairs(words: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, ...]:
+    distinct, code = np.unique(words, return_inverse=True)
+    key = np.sort(code.astype(np.int64) * CONTEXTS + contexts)
+    first = _starts(key)
+    return _by_key(distinct, key[first], np.diff(np.append(first, len(key))))
+
+
 _PACKED = "shard int, part int, kind int, block binary"
 
 
@@ -210,8 +209,15 @@ _SHARD = (
 
 
 def _merge(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-    words = np.concatenate([np.repeat(w, n) for w, n, _, _ in held])
-    return _unique_pairs(words, np.concatenate([c for _, _, c, _ in held]).astype(np.int64), np.concatenate([n for _, _, _, n in held]).astype(np.int64))
+    """Blocks of (words, pairs per word, contexts, counts) as one."""
+    distinct = np.unique(np.concatenate([w for w, _, _, _ in held]))
+    key = np.concatenate([np.repeat(np.searchsorted(distinct, w) * CONTEXTS, n) + c for w, n, c, _ in held])
+    counts = np.concatenate([n for _, _, _, n in held]).astype(np.int64)
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = _starts(key)
+    sums = np.add.reduceat(counts[order], first) if len(key) else counts
+    return _by_key(distinct, key[first], sums)
 
 
 def shard_models(counts: DataFrame) -> DataFrame:
@@ -237,7 +243,7 @@ def shard_models(counts: DataFrame) -> DataFrame:
                 current = shard
                 x = unpack(block.as_py())
                 held.append((x["words_sorted"], x["pairs"].astype(np.int64), x["contexts"], x["counts"]))
-                if len(held) > 1 and sum(len(h[2]) for h in held[1:]) > max(4_000_000, len(held[0][2])):
+                if len(held) > 1 and sum(len(h[2]) for h in held[1:]) > max(1_000_000, len(held[0][2])):
                     held = [_merge(held)]
         if held:
             yield _rows([row(current, held)], names, kinds)
@@ -289,7 +295,7 @@ def draw_tables(c: np.ndarray, tables: np.ndarray, rest: np.ndarray, p: np.ndarr
     many = many[np.argsort(c[many], kind="stable")]
     for part in np.split(many, np.flatnonzero(np.diff(c[many])) + 1) if len(many) else []:
         n = int(c[part[0]])
-        step = max(1, 2_000_000 // n)
+        step = max(1, 500_000 // n)
         for at in range(0, len(part), step):
             own = part[at : at + step]
             seats = np.log(STRENGTH + discount * (rest[own, None] + np.arange(n)))  # opening one more table
