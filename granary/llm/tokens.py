@@ -87,12 +87,13 @@ class ChunkEncoder:
     def _fold(col: pa.Array) -> pa.Array:
         """Fewer distinct chunks with the same ids: fold A-Z and part a word from the punctuation that ends it.
 
-        A run of punctuation between a letter and white space is a piece of its own in any case. A text that holds
+        A run of punctuation between a plain letter and white space is a piece of its own in any case (other letters may
+        lower to a mark that joins it). A text that holds
         an opening mark of special tokens is left alone, since those are matched before case folding.
         """
         if pc.any(pc.match_substring(col, "<|")).as_py():
             return col
-        return pc.replace_substring_regex(pc.ascii_lower(col), r"(\pL)([,.!?*#%$&|]+)(\s|$)", r"\1 \2\3")
+        return pc.replace_substring_regex(pc.ascii_lower(col), rf"([{_LETTERS}])([,.!?*#%$&|]+)(\s|$)", r"\1 \2\3")
 
     def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids uint32, offsets int64 of len(col) + 1) of a string column; null counts as empty."""

@@ -10,7 +10,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
@@ -31,6 +31,7 @@ def crc(ids: list[int]) -> int:
 
 
 @settings(max_examples=300, deadline=None)
+@example(["İ.", "a\u0301.", "É, é, ß! K."])
 @given(st.lists(st.text(st.sampled_from(list("abzABZ019.,*'| \n\t\x1c\x85\xa0éÉİß漢🙂́<>")), max_size=40), max_size=5))
 def test_chunk_encoding_equals_whole_encoding(texts):
     ids, bounds = encoder().encode(pa.array([*texts, None], pa.string()))
