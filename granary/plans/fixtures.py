@@ -28,7 +28,8 @@ def _pad2(c: Column) -> Column:
 
 
 def granule_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    # always on the join key: the parse that follows then runs in parallel whatever the number of files, and joins reuse it
+    o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate").repartition("o_orderkey")
     k = F.col("k")
     g = o.select(
         F.col("o_orderkey").alias("k"),
