@@ -124,6 +124,48 @@ def test_probabilities_sum_to_one(spark):
         assert (10.0**log_p).sum() == pytest.approx(1.0, abs=1e-9) and known.sum() == len(words) - 1
 
 
+def test_every_word_is_a_context_of_its_own(spark):
+    n = 70_000  # more than any fixed number of restaurants that could be shared by chance
+    rows = [(k, " ".join(f"w{i} x{i}" for i in range(k, min(k + 1000, n)))) for k in range(0, n, 1000)]
+    models, corpus = py.train(docs(spark, rows).repartition(3).select("text"), 4)
+    shards = [py.ShardModel(r.shard, r.model, corpus).predictive() for r in models.collect()]
+    owned = np.concatenate([p.owned for p in shards])
+    assert len(owned) == len(np.unique(owned)) == 2 * n + 1  # the end token is one too
+    customers, *tables = (np.concatenate(x) for x in zip(*(p.by_context for p in shards), strict=True))
+    assert customers.sum() == corpus.tokens and sorted(customers)[-2] == 1
+    for t, sums in zip(tables, corpus.rounds[py.BURN_IN + 1 :], strict=True):
+        assert t.sum() == sums.customers1 and (t <= customers).all()
+
+
+def test_score_of_shards_is_the_formula(spark):
+    rows = [r[:2] for r in odd_rows()]
+    table = docs(spark, rows)
+    models, corpus = py.train(table.filter("doc_id % 2 = 0").select("text"), 4)
+    shards = [py.ShardModel(r.shard, r.model, corpus).predictive() for r in models.collect()]
+    pair, word, context = {}, {}, {}
+    for p in shards:
+        for key, c, t in zip(p.keys.tolist(), p.counts.tolist(), p.seated.tolist(), strict=True):
+            pair[int(p.words[key // py.CONTEXTS]), int(p.known[key % py.CONTEXTS])] = c - corpus.discount * t / py.SAMPLES
+        word |= dict(zip(p.words.tolist(), zip(*(x.tolist() for x in p.by_word), strict=True), strict=True))
+        context |= dict(zip(p.owned.tolist(), zip(*(x.tolist() for x in p.by_context), strict=True), strict=True))
+    want = []
+    for _, text in rows:
+        own, total, before = py.tokens_of(pa.array([text], pa.string())).words.tolist(), 0.0, int(py.END)
+        for w in own:
+            counts, (customers, *tables) = word.get(w, (0,) * 5), context.get(before, (0,) * 3)
+            back = 0.0
+            for s, t in enumerate(tables):
+                sums = corpus.rounds[py.BURN_IN + 1 + s]
+                new = (py.STRENGTH + corpus.discount1 * sums.tables1) / (corpus.words + 1)
+                parent = (counts[1 + 2 * s] - corpus.discount1 * counts[2 + 2 * s] + new) / (py.STRENGTH + sums.customers1)
+                back += (py.STRENGTH + corpus.discount * t) * parent / py.SAMPLES
+            total += math.log10((pair.get((w, before), 0.0) + back) / (py.STRENGTH + customers))
+            before = w
+        want.append(total)
+    got = sorted(r.score for r in py.score(table, models, corpus, 4).collect())
+    assert got == pytest.approx(sorted(want), rel=1e-9)
+
+
 def test_tables_follow_the_exact_conditional():
     d, c, p, rest = 0.6, 3, 0.2, 4
     rng = np.random.default_rng(1)
