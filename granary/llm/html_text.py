@@ -8,7 +8,8 @@ whose fullest window reaches the threshold are kept from surge to dive. Where a
 element, only lines inside are text, and all its regions stay.
 
 Defined cases: null and empty pages give an empty text; text outside any tag is a block; unclosed elements end with
-their parent; raw elements (scripts, styles and the like) that are never closed reach to the end; very long pages need
+their parent; raw elements (scripts, styles and the like) that are never closed reach to the end, but
+``<svg/>`` and ``<math/>`` end at once; very long pages need
 no special case, the scan is linear; repeated rows and other columns don't matter.
 """
 
@@ -28,7 +29,7 @@ SURGE = 80  # characters in the fullest window of a region; half of the page's f
 
 _RAW = "script|style|noscript|template|textarea|select|svg|math|iframe|object|title|button"
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|$)|<({_RAW})\b[^>]*>.*?(?:</\1\s*>|$)|<[!?][^>]*(?:>|$)"
+    rf"<!--.*?(?:-->|$)|<(?:svg|math)(?:\s[^>]*)?/>|<({_RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|$)|<[!?][^>]*(?:>|$)"
     r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\s[^<>"']*(?:"[^"]*"[^<>"']*|'[^']*'[^<>"']*)*|[^>]*))>|<(?=[/a-zA-Z])[^>]*$""",
     re.S | re.I,
 )

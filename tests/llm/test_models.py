@@ -315,6 +315,20 @@ def test_pages(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<p>a <svg class="i"/> kept</p><p>b</p>', "a kept\nb"),
+        ("<p>a <math/> kept</p><p>b</p>", "a kept\nb"),
+        ("<p>a <svg><path d=x /> no</svg> kept</p>", "a kept"),
+        ("<button-group>x</button-group><p>b</p>", "x\nb"),
+        ("<title-bar>x</title-bar><title>no</title><p>b</p>", "x\nb"),
+    ],
+)
+def test_raw_elements_end(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_pages_table(spark):
     got = {r.page_id: r for r in queries.QUERIES["op9_html_text"](spark, SF).collect()}
     pages = spark.read.parquet(f"{SF}/pages.parquet").collect()
