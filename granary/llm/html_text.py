@@ -5,7 +5,8 @@ Lines of menus, headers, footers, sidebars, notices, adverts, forms and reader c
 of their class and id) count as blank, as do lines that are mostly links. Over the lines' text lengths a window of
 ``WINDOW`` lines slides: a region surges where the window first holds text and dives where it holds none; regions
 whose fullest window reaches the threshold are kept from surge to dive. Where a page marks its article or main
-element, only lines inside are text, and all its regions stay.
+element, only lines inside are text, and all its regions stay. An article in a dropped section that is closed after it
+(a teaser card) marks the page only when no other article does and it holds more text than all that counts elsewhere.
 
 Defined cases: null and empty pages give an empty text; text outside any tag is a block; unclosed elements end with
 their parent; raw elements (scripts, styles and the like) that are never closed reach to the end, but
@@ -56,6 +57,7 @@ _NEGATIONS = {"no", "has", "with", "without", "not"}
 
 @dataclass
 class _Element:
+    first: int  # the line it begins with
     name: str
     dropped: bool
     comments: bool
@@ -66,7 +68,7 @@ def _words(value: str) -> list[str]:
     return re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())
 
 
-def _mark(name: str, attributes: str, above: _Element | None) -> _Element:
+def _mark(first: int, name: str, attributes: str, above: _Element | None) -> _Element:
     """What an element is, from its name, its attributes and the element around it."""
     inside = bool(above and above.article)
     dropped, comments = name in _DROPPED or (name == "header" and not inside), False
@@ -85,17 +87,21 @@ def _mark(name: str, attributes: str, above: _Element | None) -> _Element:
             elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 dropped = True
     if above is None:
-        return _Element(name, dropped, comments, name in ("article", "main"))
+        return _Element(first, name, dropped, comments, name in ("article", "main"))
     comments |= above.comments
     article = above.article or name in ("article", "main")
     if name in ("article", "main") and not dropped and not comments:
-        return _Element(name, False, False, True)  # a stray open menu or advert doesn't hold the article
-    return _Element(name, dropped or above.dropped, comments, article)
+        return _Element(first, name, False, False, True)  # a stray open menu or advert doesn't hold the article
+    return _Element(first, name, dropped or above.dropped, comments, article)
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """(text, characters that count, inside an article) of every line; blank lines between sections."""
-    lines: list[tuple[str, int, bool]] = []
+_OUTSIDE, _INSIDE, _CARD = 0, 1, 2  # of an article; in an article of a dropped section
+
+
+def lines_of(page: str) -> list[tuple[str, int, int]]:
+    """(text, characters that count, whether inside an article) of every line; blank lines between sections."""
+    lines: list[tuple[str, int, int]] = []
+    articles: list[int] = []  # lines inside articles, of no dropped section so far
     stack: list[_Element] = []
     text: list[str] = []
     linked = 0  # characters of link text in the open line
@@ -103,7 +109,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     at = 0
 
     def blank(n: int) -> None:
-        lines.extend([("", 0, False)] * n)
+        lines.extend([("", 0, _OUTSIDE)] * n)
 
     def close_line() -> None:
         nonlocal linked
@@ -114,13 +120,22 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                 top = stack[-1] if stack else None
                 inside = bool(top and top.article)
                 counts = not (top and top.dropped) and (inside or 2 * linked <= len(line))
-                lines.append((line, len(line) if counts else 0, inside))
+                if inside:
+                    articles.append(len(lines))
+                lines.append((line, len(line) if counts else 0, _INSIDE if inside else _OUTSIDE))
         linked = 0
 
+    def end(element: _Element) -> None:
+        """Articles of a dropped section are known as such when it ends."""
+        while element.dropped and articles and articles[-1] >= element.first:
+            at = articles.pop()
+            lines[at] = (*lines[at][:2], _CARD)
+
     def pop(name: str) -> None:
         if any(e.name == name for e in stack):
-            while stack.pop().name != name:
+            while (element := stack.pop()).name != name:
                 pass
+            end(element)
 
     for m in _TOKEN.finditer(page):
         if m.start() > at:
@@ -139,11 +154,12 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             elif m[2]:
                 if stack and stack[-1].name == name:
                     close_line()
-                    stack.pop()
+                    end(stack.pop())
             elif m[4] and name not in _VOID and not m[4].endswith("/"):
-                mark = _mark(name, m[4], stack[-1] if stack else None)
+                mark = _mark(len(lines), name, m[4], stack[-1] if stack else None)
                 if mark.dropped and not (stack and stack[-1].dropped):
                     close_line()
+                    mark.first = len(lines)
                     stack.append(mark)
             continue
         close_line()
@@ -154,7 +170,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                 stack.pop()  # a block ends an open paragraph
             if name == "li" and stack and stack[-1].name == "li":
                 stack.pop()
-            stack.append(_mark(name, m[4], stack[-1] if stack else None))
+            stack.append(_mark(len(lines), name, m[4], stack[-1] if stack else None))
         if name in _SECTIONS and not (stack and stack[-1].article and name not in ("article", "main")):
             blank(WINDOW)
         elif name == "div" and not (stack and stack[-1].article):
@@ -165,10 +181,12 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     return lines
 
 
-def main_lines(lines: list[tuple[str, int, bool]]) -> list[str]:
+def main_lines(lines: list[tuple[str, int, int]]) -> list[str]:
     """Lines that count, of the regions between surge and dive."""
-    if marked := any(size and inside for _, size, inside in lines):
-        lines = [(text, size if inside else 0, inside) for text, size, inside in lines]
+    total = [sum(size for _, size, inside in lines if inside == k) for k in (_OUTSIDE, _INSIDE, _CARD)]
+    text_in = _INSIDE if total[_INSIDE] else _CARD if total[_CARD] > total[_OUTSIDE] else _OUTSIDE
+    marked = text_in != _OUTSIDE
+    lines = [(text, size if inside == text_in else 0, inside) for text, size, inside in lines]
     sizes = [size for _, size, _ in lines]
     blocks = [sum(sizes[max(0, i - WINDOW + 1) : i + 1]) for i in range(len(sizes))]  # the window that ends at a line
     threshold = 1 if marked else min(SURGE, max(blocks, default=0) / 2)

@@ -329,6 +329,24 @@ def test_raw_elements_end(page, text):
     assert html_text.main_text(page) == text
 
 
+TEXT = "The main text of the page is long enough to be found by its length alone, and it has no article element around it."
+CARDS = "<article>Teaser</article><article><p>Another</p></article>"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<div id=content><p>{TEXT}</p></div><aside class=related>{CARDS}</aside>", TEXT),
+        (f"<nav>{CARDS}</nav><div id=content><p>{TEXT}</p></div><footer>{CARDS}</footer>", TEXT),
+        (f"<article>{TEXT}<div class=related>{CARDS}</div>more</article>", f"{TEXT}\nmore"),
+        (f"<div class=share-page><main>{TEXT}</main></div><p>Short.</p>", TEXT),  # what holds most of the text is no card
+        (f"<nav>menu<article>{TEXT}</article><aside>{CARDS}</aside>", TEXT),
+    ],
+)
+def test_cards_are_not_the_article(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_pages_table(spark):
     got = {r.page_id: r for r in queries.QUERIES["op9_html_text"](spark, SF).collect()}
     pages = spark.read.parquet(f"{SF}/pages.parquet").collect()
