@@ -142,8 +142,9 @@ def language_counts(rows: DataFrame) -> DataFrame:
 def learn(rows: DataFrame, size: int = PROFILE) -> DataFrame:
     """Profiles of the languages of (``lang``, ``text``) rows: ``lang``, ``gram``, ``rank``."""
     order = W.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
-    counts = language_counts(rows).withColumn("rank", F.row_number().over(order) - 1)
-    return counts.filter(F.col("rank") < size).select("lang", "gram", F.col("rank").cast("int").alias("rank"))
+    counts = language_counts(rows).withColumn("place", F.row_number().over(order))
+    # the plain row number is what a limit per task (WindowGroupLimit) is inferred from
+    return counts.filter(F.col("place") <= size).select("lang", "gram", (F.col("place") - 1).cast("int").alias("rank"))
 
 
 class Profiles:

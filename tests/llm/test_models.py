@@ -265,6 +265,11 @@ def test_languages(spark):
     assert nothing.filter("lang_pred = 'und' and score = 0").count() == len(rows)
 
 
+def test_profiles_are_cut_in_every_task(spark):
+    plan = language_id.learn(language_id.training_rows(docs(spark, odd_rows())))._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"WindowGroupLimit .*Partial", plan)
+
+
 def test_languages_held_out(spark):
     lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     got = [r for r in queries.QUERIES["op7_language_id"](spark, SF).collect() if r.held_out]
