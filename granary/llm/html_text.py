@@ -4,7 +4,8 @@ Markup is stripped into lines, one for each block of text; blank lines stand whe
 Lines of menus, headers, footers, sidebars, notices, adverts, forms and reader comments (by element, role or the words
 of their class and id) count as blank, as do lines that are mostly links. Over the lines' text lengths a window of
 ``WINDOW`` lines slides: a region surges where the window first holds text and dives where it holds none; regions
-whose fullest window reaches the threshold are kept from surge to dive. Where a page marks its article or main
+whose fullest window reaches the threshold are kept from surge to dive, and short ones (headings) that follow or precede them
+with no dropped line between. Where a page marks its article or main
 element, only lines inside are text, and all its regions stay. An article in a dropped section that is closed after it
 (a teaser card) marks the page only when no other article does and it holds more text than all that counts elsewhere.
 
@@ -190,7 +191,7 @@ def main_lines(lines: list[tuple[str, int, int]]) -> list[str]:
     sizes = [size for _, size, _ in lines]
     blocks = [sum(sizes[max(0, i - WINDOW + 1) : i + 1]) for i in range(len(sizes))]  # the window that ends at a line
     threshold = 1 if marked else min(SURGE, max(blocks, default=0) / 2)
-    kept: list[str] = []
+    regions: list[tuple[int, int, bool]] = []
     i = 0
     while i < len(lines):
         if not blocks[i]:
@@ -199,9 +200,15 @@ def main_lines(lines: list[tuple[str, int, int]]) -> list[str]:
         surge = i
         while i < len(lines) and blocks[i]:
             i += 1
-        if max(blocks[surge:i]) >= threshold:
-            kept += [text for text, size, _ in lines[surge:i] if size]
-    return kept
+        regions.append((surge, i, max(blocks[surge:i]) >= threshold))
+    kept = {k for k, (_, _, full) in enumerate(regions) if full}
+    # short regions (a title in its own section) stay with a kept one when no dropped line stands between
+    for order, back in ((range(1, len(regions)), -1), (range(len(regions) - 2, -1, -1), 1)):
+        for k in order:
+            (_, end, _), (start, _, _) = sorted((regions[k], regions[k + back]))
+            if k + back in kept and not any(text and not size for text, size, _ in lines[end - WINDOW : start]):
+                kept.add(k)
+    return [text for k in sorted(kept) for text, size, _ in lines[regions[k][0] : regions[k][1]] if size]
 
 
 def main_text(page: str | None) -> str:

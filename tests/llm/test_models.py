@@ -352,6 +352,17 @@ def test_cards_are_not_the_article(page, text):
     assert html_text.main_text(page) == text
 
 
+def test_short_regions_stay_with_their_neighbours():
+    page = f"<section><h2>Title</h2></section><section><p>{TEXT}</p></section><section><p>End.</p></section><nav>menu</nav><section>Alone.</section>"
+    assert html_text.main_text(page) == f"Title\n{TEXT}\nEnd."
+
+
+def test_pages_table_without_articles(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet").collect()
+    for r in pages:  # the line blocks decide, and find what the article held
+        assert html_text.main_text(re.sub("<(/?)article>", r"<\1div>", r.html)) == html_text.main_text(r.html)
+
+
 def test_pages_table(spark):
     got = {r.page_id: r for r in queries.QUERIES["op9_html_text"](spark, SF).collect()}
     pages = spark.read.parquet(f"{SF}/pages.parquet").collect()
