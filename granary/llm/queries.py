@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import decontamination, html_text, language_id, ngram_join, ordinal, packing, pitman_yor, quality_rules, secrets, token_files
+from granary.llm import decontamination, fill_middle, html_text, language_id, ngram_join, ordinal, packing, pitman_yor, quality_rules, secrets, token_counts, token_files
 from granary.llm.settings import prepare
 from granary.session import scratch_path
 
@@ -144,3 +144,46 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 4096 token ids, one row per piece."""
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+_OP12 = r"""
+with d as (
+ select doc_id, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), '[ \t-\r]*[^ \t-\r]+|[ \t-\r]+') u,
+  sha256('42:' || coalesce(cast(doc_id as varchar), '')) h
+ from documents),
+e as (
+ select *, len(u) n, cast('0x' || h[1:8] as bigint) h1, cast('0x' || h[9:16] as bigint) h2,
+  cast('0x' || h[17:24] as bigint) h3, cast('0x' || h[25:32] as bigint) h4 from d),
+f as (
+ select *, least(h1 % (n + 1), h2 % (n + 1)) a, greatest(h1 % (n + 1), h2 % (n + 1)) b,
+  case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 50 then 'plain'
+       when h4 % 100 < 80 then 'spm' else 'psm' end form from e),
+g as (
+ select *, array_to_string(u[1:a], '') p, array_to_string(u[a + 1:b], '') m, array_to_string(u[b + 1:], '') s from f)
+select doc_id, n, form, case when form <> 'plain' then length(p) end prefix_chars, case when form <> 'plain' then length(m) end middle_chars,
+ sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+  else '<S>' || s || '<P>' || p || '<M>' || m end) output_sha256, sha256(p || m || s) restored_sha256
+from g
+"""
+
+
+@register("op12_fill_middle", _OP12)
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in fill-in-middle form, with digests of the output and of the text rebuilt from it."""
+    done = fill_middle.transform(table(spark, sf_dir, "documents"))
+    return done.select(
+        "doc_id",
+        F.col("n_units").alias("n"),
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored("output", "form").cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+@register("op13_token_counts")
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether it has more than 1024 tokens."""
+    counted = token_counts.count(table(spark, sf_dir, "documents"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > token_counts.LIMIT).alias("over_limit"))
