@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import decontamination, fill_middle, html_text, language_id, ngram_join, ordinal, packing, pitman_yor, quality_rules, secrets, token_counts, token_files
+from granary.llm import conversations, decontamination, fill_middle, html_text, language_id, ngram_join, ordinal, packing, pitman_yor, quality_rules, secrets, token_counts, token_files
 from granary.llm.settings import prepare
 from granary.session import scratch_path
 
@@ -146,6 +146,76 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+# The damage (CRC-32 bit by bit), the faults, and the DP over each conversation's rows from the last to the first: per state
+# (nothing yet, after s, after u, after a) the least (cost, audit) with the repaired lines that go with it.
+_OP11 = r"""
+with keyed as (
+ select conv_id, turn, coalesce(role, ' ') role, coalesce(text, ' ') txt,
+  coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') k
+ from conversations),
+crc as (
+ select *, xor(list_reduce([cast(ascii(x) as bigint) for x in string_split(k, '')],
+   lambda c, b: list_reduce([0, 1, 2, 3, 4, 5, 6, 7], lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end, xor(c, b)),
+   4294967295), 4294967295) % 20 fault
+ from keyed),
+damaged as (
+ select conv_id, turn, case when fault = 4 then 'user' else role end role,
+  case when fault = 1 then '' when fault = 2 then regexp_replace(txt, '[.!?]', '', 'g') else txt end txt,
+  unnest(case when fault = 3 then [0, 1] else [0] end) copy
+ from crc where fault <> 0),
+facts as (
+ select conv_id, turn, role, txt, rtrim(txt, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) seen,
+  case when role[1] in ('s', 'u', 'a') then role[1] else 'x' end i,
+  row_number() over (partition by conv_id order by turn nulls first, role, sha256(txt), copy) place,
+  row_number() over (partition by conv_id, role, txt order by turn nulls first, copy) nth
+ from damaged),
+coded as (
+ select *, case when seen = '' then 'blank' when nth > 1 then 'duplicate' when seen[-1] not in ('.', '!', '?') then 'truncated' else '' end f,
+  lag(i) over (partition by conv_id order by place) before
+ from facts),
+listed as (
+ select conv_id, count(*) filter (where f = 'blank') blank, count(*) filter (where f = 'duplicate') duplicate,
+  count(*) filter (where f = 'truncated') truncated, count(*) filter (where before || i not in ('su', 'ua', 'au')) illegal,
+  coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) gaps,
+  list({'i': i, 'f': f, 'line': role || ':' || txt, 'txt': txt} order by place desc) messages
+ from coded group by conv_id),
+ways as (select [
+ [{'n': '', 'w': 's', 'q': 2}, {'n': '', 'w': 'u', 'q': 3}, {'n': 'user:', 'w': 'a', 'q': 4}],
+ [{'n': '', 'w': 'u', 'q': 3}, {'n': 'user:', 'w': 'a', 'q': 4}],
+ [{'n': '', 'w': 'a', 'q': 4}, {'n': 'assistant:', 'w': 'u', 'q': 3}],
+ [{'n': '', 'w': 'u', 'q': 3}, {'n': 'user:', 'w': 'a', 'q': 4}]] ways),
+solved as (
+ select l.*, list_reduce(messages, lambda v, r: [list_sort(
+   [{'c': v[q].c + 3, 'a': 'D' || v[q].a, 't': v[q].t}] ||
+   [{'c': v[x.q].c + (case when x.n <> '' then 2 else 0 end) + (case when x.w <> r.i then 2 else 0 end) + (case when r.f = 'truncated' then 1 else 0 end),
+     'a': (case when x.n <> '' then 'I' else '' end) || (case when x.w = r.i then 'K' else 'R' end) || v[x.q].a,
+     't': (case when x.n <> '' then [x.n] else [] end)
+       || [case when x.w = r.i then r.line when x.w = 'u' then 'user:' || r.txt else 'assistant:' || r.txt end] || v[x.q].t}
+    for x in ways[q] if r.f not in ('blank', 'duplicate') and (x.w = r.i or x.w <> 's')])[1] for q in [1, 2, 3, 4]],
+   [{'c': 0, 'a': '', 't': cast([] as varchar[])}, {'c': 4, 'a': 'II', 't': ['user:', 'assistant:']},
+    {'c': 2, 'a': 'I', 't': ['assistant:']}, {'c': 0, 'a': '', 't': cast([] as varchar[])}])[1] best
+ from listed l, ways)
+select o.conv_id, coalesce(gaps, 0) gaps, coalesce(blank, 0) blank, coalesce(duplicate, 0) duplicate, coalesce(truncated, 0) truncated,
+ coalesce(illegal, 0) illegal, cast(coalesce(best.c, 0) as bigint) "cost", coalesce(best.a, '') audit,
+ sha256(coalesce(array_to_string(best.t, chr(10)), '')) repaired_sha256
+from (select distinct conv_id from conversations) o left join solved s on o.conv_id is not distinct from s.conv_id
+"""
+
+
+@register("op11_conversations", _OP11)
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and digest of the repaired messages of every conversation, after the stated damage."""
+    rows = table(spark, sf_dir, "conversations")
+    repaired = conversations.repair(conversations.damage(rows))
+    key = conversations.conversation_key().alias("key")
+    every = rows.select("conv_id").distinct().select(key, "conv_id")
+    found = repaired.summary.select(key, *(c for c in repaired.summary.columns if c != "conv_id"))
+    joined = every.join(found, "key", "left").join(conversations.digests(repaired.messages), "key", "left")
+    counts = [F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return joined.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"))
+
+
 _OP12 = r"""
 with d as (
  select doc_id, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), '[ \t-\r]*[^ \t-\r]+|[ \t-\r]+') u,
