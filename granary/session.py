@@ -70,19 +70,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
-def _folder(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+def path_of(spark: SparkSession, path: str):
+    """(Hadoop file system, path) of a path string."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
 
 
 def list_folder(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder of any Hadoop file system, sorted; empty if there is no such folder."""
-    files, folder = _folder(spark, path)
+    files, folder = path_of(spark, path)
     return sorted(s.getPath().getName() for s in files.listStatus(folder)) if files.exists(folder) else []
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:
-    files, folder = _folder(spark, path)
+    files, folder = path_of(spark, path)
     files.delete(folder, True)
 
 
