@@ -20,7 +20,7 @@ from granary.plans import fixtures as fx
 from granary.plans import jobs
 from granary.session import configure, scratch_path
 from granary.sources import inventory as inv_src
-from granary.sources import joblogs, queues, snapshot
+from granary.sources import joblogs, logtable, queues, snapshot
 from granary.sources import progress as prog
 from granary.streaming import monitor
 from granary.streaming import replay_state
@@ -868,6 +868,30 @@ def log_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs.select("granule_id", "outcome", "attempt", "job_outcome", "platform", "acquisition_date")
 
 
+@register("log_compaction", _CLASSIFIED + """
+, batches as (
+ select platform, ymd, max(case when seq <= 2 or ymd not like '1996%' then 0 when seq > 4 and ymd like '1996-01%' then 2 else 1 end) batch
+ from routed group by platform, ymd)
+select granule_id, cur_outcome outcome, attempt, job_outcome2 job_outcome, platform, ymd acquisition_date, cast(batch as bigint) "version"
+from r_current join batches using (platform, ymd)
+""")
+def log_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log after three batches with successes in between, each of which rewrites the days that it touches alone: equal to
+    a replay of all events, and every document still in the version that last touched its day. The later batches bring
+    attempts of one year, and of its first month."""
+    base = scratch_path(spark, "log-compaction")
+    rows = routing.log_rows(_routed(spark, sf_dir), order="seq").withColumnRenamed("seq", "arrival")
+    rows = rows.withColumn("id", F.col("job_info.jobId"))
+    seq, day = F.col("arrival"), F.col("acquisition_date")
+    batch_of = F.when((seq <= 2) | ~day.startswith("1996"), 0).when((seq > 4) & day.startswith("1996-01"), 2).otherwise(1)
+    for batch in range(3):
+        queues.append_batch(rows.filter(batch_of == batch), f"{base}/events", "history", batch)
+        jobs.compact_logs(spark, f"{base}/events", f"{base}/logs", block_size=replay.DEFAULT_BLOCK, keep=1 if batch == 2 else None)
+    logs = logtable.read(spark, f"{base}/logs")
+    number = F.split_part("version", F.lit("-"), F.lit(1)).cast("long").alias("version")
+    return logs.select("granule_id", "outcome", "attempt", "job_outcome", "platform", "acquisition_date", number)
+
+
 @register("job_log_files", _CLASSIFIED + """
 select granule_id, cur_outcome outcome, attempt, platform, left(ymd, 8) || '01' acquisition_date, job_outcome2 job_outcome,
  'outcome=' || cur_outcome || '/platform=' || platform || '/acquisition_date=' || left(ymd, 8) || '01' folder

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from granary.operators import feed, inventory, replay, reporting, routing
 from granary.session import configure, delete_folder, list_folder
 from granary.sources import inventory as inv_src
-from granary.sources import joblogs, queues, snapshot
+from granary.sources import joblogs, logtable, queues, snapshot
 from granary.sources import progress as prog
 
 
@@ -88,6 +88,24 @@ def materialize_current_logs(spark: SparkSession, events_path: str, logs_path: s
     joblogs.rewrite_job_logs(routing.log_rows(current), logs_path)
 
 
+def compact_logs(spark: SparkSession, events_path: str, logs_path: str, block_size: int = 86_400_000, keep: int | None = 2) -> list[int]:
+    """Put the event batches that the log at ``logs_path`` lacks into it, producer by producer and in order.
+
+    Each compaction rewrites only the days that its batch touches; returns the versions made. In the end what only older
+    manifests than the last ``keep`` name is deleted (``None``: nothing).
+    """
+    configure(spark)
+    made = []
+    for producer, batch_id in queues.batches(spark, events_path):
+        if batch_id <= logtable.last_batch(spark, logs_path, producer):
+            continue
+        events = spark.read.parquet(queues.batch_folder(events_path, producer, batch_id))
+        made.append(logtable.compact(events, logs_path, producer, batch_id, block_size))
+    if made and keep is not None:
+        logtable.vacuum(spark, logs_path, keep)
+    return made
+
+
 def progress_report(spark: SparkSession, snapshot_location: str, csv_path: str | None = None) -> DataFrame:
     """Yearly progress report over the newest storage listing; optionally written as one CSV."""
     configure(spark)
@@ -106,7 +124,9 @@ def redrive_from_logs(spark: SparkSession, logs_path: str, retry_path: str, run_
                       limit: int | None = None) -> int:
     """Failure view rows below the attempt cap to the retry table (attempt unchanged); returns rows written."""
     configure(spark)
-    view = reporting.failures_view(joblogs.read_job_logs(spark, logs_path).filter(F.col("outcome") == "failure"))
+    compacted = logtable.is_compacted(spark, logs_path)
+    logs = logtable.read(spark, logs_path, "failure") if compacted else joblogs.read_job_logs(spark, logs_path)
+    view = reporting.failures_view(logs.filter(F.col("outcome") == "failure"))
     msgs = routing.redrive_logs(view, max_attempts, limit).select(
         F.concat(F.lit(f"redrive-{run_id}-"), F.col("granule_id")).alias("message_id"), "body", "failure_type"
     )

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -21,6 +22,8 @@ SESSION_SETTINGS = {
     # split a skewed join partition even when that needs an extra shuffle after the join (the aggregates that follow
     # our joins are partial, so a hot granule is then spread over tasks and combined map-side)
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # a table of thousands of small folders is listed by some hundred tasks, not by one for each folder
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "256",
 }
 
 
@@ -76,10 +79,29 @@ def path_of(spark: SparkSession, path: str):
     return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
 
 
+def _paths(spark: SparkSession, statuses) -> list[str]:
+    """Paths of file statuses as text, in one call to the JVM."""
+    jvm = spark._jvm
+    joined = jvm.scala.collection.mutable.ArraySeq.make(jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(statuses)).mkString("\n")
+    return joined.split("\n") if joined else []
+
+
 def list_folder(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder of any Hadoop file system, sorted; empty if there is no such folder."""
     files, folder = path_of(spark, path)
-    return sorted(s.getPath().getName() for s in files.listStatus(folder)) if files.exists(folder) else []
+    return sorted(p.rsplit("/", 1)[-1] for p in _paths(spark, files.listStatus(folder))) if files.exists(folder) else []
+
+
+def list_partitions(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Partition folders (``name=value/...``, ``depth`` names) below a folder, by listing alone."""
+    files, pattern = path_of(spark, f"{path.rstrip('/')}/{'/'.join(['*=*'] * depth)}")
+    return sorted("/".join(p.rsplit("/", depth)[-depth:]) for p in _paths(spark, files.globStatus(pattern)))
+
+
+def delete_folders(spark: SparkSession, paths: list[str]) -> None:
+    """Delete many folders, some at a time."""
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(lambda path: delete_folder(spark, path), paths))
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:
