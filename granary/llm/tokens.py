@@ -9,6 +9,7 @@ reaches ``CACHE_WORDS`` entries, which bounds memory and changes no result.
 from __future__ import annotations
 
 import itertools
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -20,7 +21,8 @@ import pyarrow.compute as pc
 from granary.llm.textnp import slices
 
 CACHE_WORDS = 500_000
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
+JOINED = 500  # plain words that the model takes at a time
 DEFAULT_TOKENIZER = "word_bpe_49k.json"
 
 # Letters that normalising and splitting leave as they are: a run of them is one piece.
@@ -43,11 +45,21 @@ class ChunkEncoder:
     def __init__(self, name: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path(name))
         # how the pre-tokenizer writes each of the letters that it and the normaliser leave alone
         split = self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.letters = {ord(c): split(c)[0][0] for c in _LETTERS}
+        # the model alone, for many plain words at a time; each word's ids end with one that carries the word-end suffix
+        self.words = Tokenizer(self.tokenizer.model)
+        self.words.pre_tokenizer = WhitespaceSplit()
+        vocabulary = self.tokenizer.get_vocab()
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        if not suffix:
+            raise ValueError(f"a tokenizer without word ends: {name}")
+        self.ends = np.zeros(1 + max(vocabulary.values()), bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self._clear()
 
     def _clear(self) -> None:
@@ -59,18 +71,18 @@ class ChunkEncoder:
 
     def _add(self, chunks: list[str]) -> None:
         """Encode chunks that the cache lacks and append their ids to the pool."""
-        encoded: list = [None] * len(chunks)
-        model, letters, other = self.tokenizer.model, self.letters, []
-        for k, chunk in enumerate(chunks):
-            if _PLAIN.fullmatch(chunk):  # one piece of the pre-tokenizer: straight to the model
-                encoded[k] = [t.id for t in model.tokenize(chunk if chunk.isascii() else chunk.translate(letters))]
-            else:
-                other.append(k)
-        whole = self.tokenizer.encode_batch_fast([chunks[k] for k in other], add_special_tokens=False)
-        for k, e in zip(other, whole, strict=True):
-            encoded[k] = e.ids
-        lens = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        flat = np.fromiter(itertools.chain.from_iterable(encoded), np.uint32, int(lens.sum()))
+        plain, other = [], []
+        for chunk in chunks:  # a plain chunk is one piece of the pre-tokenizer
+            (plain if _PLAIN.fullmatch(chunk) else other).append(chunk)
+        chunks = plain + other
+        spelled = [c if c.isascii() else c.translate(self.letters) for c in plain]
+        joined = [" ".join(spelled[i : i + JOINED]) for i in range(0, len(spelled), JOINED)]
+        flat = [np.array(e.ids, np.uint32) for e in self.words.encode_batch_fast(joined, add_special_tokens=False)]
+        flat = np.concatenate([np.empty(0, np.uint32), *flat])
+        lens = np.diff(np.flatnonzero(self.ends[flat]), prepend=-1)
+        whole = [e.ids for e in self.tokenizer.encode_batch_fast(other, add_special_tokens=False)]
+        lens = np.concatenate([lens, np.fromiter(map(len, whole), np.int64, len(whole))])
+        flat = np.concatenate([flat, np.fromiter(itertools.chain.from_iterable(whole), np.uint32)])
         at, n = len(self.index), len(chunks)
         if at + n > len(self.starts):
             grow = max(at + n, 2 * len(self.starts))
@@ -102,9 +114,11 @@ class ChunkEncoder:
         chunks = flat.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.index) + len(chunks) > CACHE_WORDS:
             self._clear()
-        if missing := [c for c in chunks if c not in self.index]:
+        at = list(map(self.index.get, chunks))
+        if missing := [c for c, k in zip(chunks, at, strict=True) if k is None]:
             self._add(missing)
-        at = np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
+            at = list(map(self.index.__getitem__, chunks))
+        at = np.array(at, np.int64)
         code = flat.indices.to_numpy(zero_copy_only=False)
         starts, lens = self.starts[at][code], self.lens[at][code]
         ends = np.cumsum(lens)

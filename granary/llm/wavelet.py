@@ -47,8 +47,8 @@ class WaveletMatrix:
         for level in range(self.bits - 1, -1, -1):
             ones = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
             above = np.empty(self.n, kind)
-            above[~ones] = row[: self.zeros[level]]
-            above[ones] = row[self.zeros[level] :] | kind(1 << (self.bits - 1 - level))
+            above[np.flatnonzero(~ones)] = row[: self.zeros[level]]
+            above[np.flatnonzero(ones)] = row[self.zeros[level] :] | kind(1 << (self.bits - 1 - level))
             row = above
         return row.astype(np.uint32)
 
