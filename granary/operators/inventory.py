@@ -73,19 +73,24 @@ def quarantine(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return parsed.filter("parse_ok").drop("parse_ok", "value"), bad.select(*keep, "value")
 
 
+def completed_rows(lines: DataFrame, strict: bool = True) -> DataFrame:
+    """Completed rows of listing lines; without ``strict`` bad lines are left out (write those of ``quarantine`` beside them)."""
+    parsed = parse_inventory(lines, strict=strict)
+    if not strict:
+        parsed, _ = quarantine(parsed)
+    return parsed.filter(F.col("status") == inv_fn.COMPLETED)
+
+
 def convert_inventory(lines: DataFrame, strict: bool = True, num_partitions: int | None = None) -> DataFrame:
     """Listing lines ``(inventory, value)`` to completed rows, newest first, numbered per inventory.
 
     Without ``strict`` only the good rows are converted; write the bad lines of ``quarantine`` beside them.
 
-    Output: ``inventory, granule_id, start_datetime, status, published, inventory_seq``. The persisted form casts
-    ``start_datetime`` to DATE (see ``sources.inventory.write_inventory``); the sort uses the full timestamp so the
-    order is a refinement of day order and deterministic.
+    Output: ``inventory, granule_id, start_datetime, status, published, inventory_seq``. Inventory tables are written
+    without the position (``sources.inventory.write_ordered``), so they don't need the staged copy; this is the form for
+    further work in the same job. The sort uses the full timestamp, so the order is a refinement of day order.
     """
-    parsed = parse_inventory(lines, strict=strict)
-    if not strict:
-        parsed, _ = quarantine(parsed)
-    completed = parsed.filter(F.col("status") == inv_fn.COMPLETED)
+    completed = completed_rows(lines, strict)
     group = ["inventory"] if "inventory" in completed.columns else []
     return number_rows(completed, inventory_order(), group=group, num_partitions=num_partitions)
 

@@ -1056,6 +1056,38 @@ def inventory_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inv_src.read_inventory(spark, out, ["inventory", "granule_id", "start_datetime", "status", "published", "inventory_seq"])
 
 
+@register("inventory_counts_footer", _PARSED_INVENTORY + """
+select inventory, cast(0 as bigint) submitted_count, cast(total_count as bigint) total_count from counts
+""")
+def inventory_counts_footer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Progress records of stored inventories, from the footers of their files."""
+    out = scratch_path(spark, "inventory-counts")
+    jobs.convert_inventories(spark, [_listing_files(spark, sf_dir)], out)
+    counts = inv_src.catalog_counts(inv_src.read_catalog(spark, out))
+    return counts.withColumn("inventory", inv_src.inventory_name(F.concat("inventory", F.lit("/part"))))
+
+
+@register("feed_run_stored", _PARSED_INVENTORY + f"""
+select c.granule_id, 0 attempt, replace(c.granule_id, '.', '-') || '_0' job_name, '{OUTPUT_BUCKET}' target_bucket,
+ 'OUTPUT_BUCKET={OUTPUT_BUCKET};GRANULE_ID=' || c.granule_id || ';ATTEMPT=0' env, cast(inventory_seq // {FEED_N} + 1 as bigint) run,
+ least(2 * {FEED_N}, total_count) submitted_count
+from conv c join counts using (inventory)
+where inventory = (select min(inventory) from conv) and inventory_seq < 2 * {FEED_N}
+""")
+def feed_run_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two feed runs over stored inventories: requests of the first two slices, and the progress after them."""
+    base = scratch_path(spark, "feed-run")
+    inventories, progress, requests = f"{base}/inventories", f"{base}/progress", f"{base}/requests"
+    jobs.convert_inventories(spark, [_listing_files(spark, sf_dir)], inventories)
+    summaries = fx.job_details_flat(spark, sf_dir).select(F.col("id").alias("job_id"), "status")
+    for run in (1, 2):
+        jobs.run_feed(spark, inventories, progress, summaries, requests, run, FEED_N, GATE_THRESHOLDS[-1], OUTPUT_BUCKET)
+    done = prog.read_progress(spark, progress)[0].agg(F.sum("submitted_count").alias("submitted_count"))
+    submitted = F.lit(done.first()["submitted_count"])
+    rows = spark.read.parquet(requests)
+    return rows.select("granule_id", "attempt", "job_name", "target_bucket", env_text().alias("env"), F.col("batch_id").cast("long").alias("run"), submitted.alias("submitted_count"))
+
+
 @register("inventory_quarantine", _PARSED_INVENTORY + """
 , spoilt as (
  select inventory, replace(replace(value, ' failed f', ' failed x'), ':07:', ':xx:') line, r.value from raw_inventory r)
@@ -1099,8 +1131,7 @@ def feed_from_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inventory.parse_inventory(fx.raw_inventory(spark, sf_dir))
     numbered = inventory.number_rows(rows, inventory.inventory_order(), group=["inventory"])
     inv_src.write_inventory(numbered, f"{base}/inventories")
-    jobs.create_tracking(spark, f"{base}/inventories", f"{base}/progress")
-    progress, _ = prog.read_progress(spark, f"{base}/progress")
+    progress = inv_src.count_rows(inv_src.discover_inventories(spark, f"{base}/inventories"))
     events, _ = feed.next_batch(inv_src.discover_inventories(spark, f"{base}/inventories"), progress, REDRIVE_LIMIT)
     return events.select("granule_id", "attempt", inv_src.inventory_name(F.concat("inventory", F.lit("/part"))).alias("inventory"), "inventory_seq")
 

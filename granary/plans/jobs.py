@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from granary.operators import feed, inventory, replay, reporting, routing
 from granary.session import configure, delete_folder, list_folder
 from granary.sources import inventory as inv_src
-from granary.sources import joblogs, logtable, queues, snapshot
+from granary.sources import commits, joblogs, logtable, queues, snapshot
 from granary.sources import progress as prog
 
 
 def convert_inventories(spark: SparkSession, listings: list[str], destination: str, rejects: str | None = None) -> None:
-    """Listing text files to newest-first Parquet tables (one per listing) with ``inventory_seq``.
+    """Listing text files to newest-first Parquet tables (one per listing), written once, with their catalogue of files.
 
     A bad line fails the job, unless a ``rejects`` folder takes the bad lines (``inventory, value``).
     """
@@ -24,15 +24,15 @@ def convert_inventories(spark: SparkSession, listings: list[str], destination: s
     if rejects is not None:
         _, bad = inventory.quarantine(inventory.parse_inventory(lines, strict=False))
         bad.write.mode("overwrite").parquet(rejects)
-    converted = inventory.convert_inventory(lines, strict=rejects is None)
-    inv_src.write_inventory(converted, destination)
+    rows = inventory.completed_rows(lines, strict=rejects is None)
+    inv_src.write_ordered(rows, destination, inventory.inventory_order())
 
 
 def create_tracking(spark: SparkSession, inventory_path: str, progress_path: str) -> int:
-    """Discover the inventories, count their rows and write fresh progress records ``(inventory, 0, total)``, keyed by the
-    inventory's path; fails if progress exists already."""
+    """Write fresh progress records ``(inventory, 0, total)`` of the inventories in the catalogue (made now if there is none),
+    keyed by the inventory's path; fails if progress exists already."""
     configure(spark)
-    return prog.create_progress(spark, progress_path, inv_src.count_rows(inv_src.discover_inventories(spark, inventory_path)))
+    return prog.create_progress(spark, progress_path, inv_src.catalog_counts(inv_src.read_catalog(spark, inventory_path)))
 
 
 def run_feed(
@@ -49,30 +49,36 @@ def run_feed(
 ) -> int | None:
     """One feed run: gate, next slice, work requests, progress. Returns the stored progress version.
 
-    Requests are written (keyed by ``run_id``) before progress moves, so a crash in between re-submits the slice
-    (at least once). In debug mode the progress is not stored.
+    The slice's files come from the catalogue, so no other is listed or opened. Requests are written (keyed by ``run_id``)
+    before progress moves, so a crash in between re-submits the slice (at least once). A run that another one overtook
+    withdraws its requests and takes the next slice. In debug mode the progress is not stored.
     """
     configure(spark)
-    table = inv_src.discover_inventories(spark, inventory_path)
-    table = table.select("inventory", "inventory_seq", "granule_id", "status")
-    try:
-        progress, version = prog.read_progress(spark, progress_path)
-    except prog.ProgressNotFoundError:
-        create_tracking(spark, inventory_path, progress_path)
-        progress, version = prog.read_progress(spark, progress_path)
-    progress = progress.cache()  # one row per listing, read by the gate, the slice and the update
-    try:
-        requests, new_progress = feed.feed_run(
-            table, progress, summaries, n, max_active_jobs, output_bucket, debug_bucket
-        )
-        if requests is None:  # gate closed
+    files = inv_src.read_catalog(spark, inventory_path)
+    for _ in range(commits.TRIES):
+        try:
+            progress, version = prog.read_progress(spark, progress_path)
+        except prog.ProgressNotFoundError:
+            try:
+                create_tracking(spark, inventory_path, progress_path)
+            except prog.ProgressConflictError:  # another run was first
+                pass
+            progress, version = prog.read_progress(spark, progress_path)
+        if not feed.gate_open(summaries, max_active_jobs):
             return version
-        queues.append_batch(requests, requests_path, "feed", run_id)
+        chosen = feed.next_slice(progress, n)
+        if chosen is None:
+            return version
+        rows = inv_src.read_slice(spark, files, chosen.inventory, chosen.start, chosen.end, ["granule_id", "status"])
+        events = feed.slice_rows(rows, chosen).select("granule_id", F.lit(0).alias("attempt"))
+        queues.append_batch(feed.work_requests(events, output_bucket, debug_bucket), requests_path, "feed", run_id)
         if debug_bucket:  # debug runs never count as submitted
             return version
-        return prog.update_progress(spark, progress_path, new_progress, version)
-    finally:
-        progress.unpersist()
+        try:
+            return prog.update_progress(spark, progress_path, feed.advance(progress, chosen), version)
+        except prog.ProgressConflictError:
+            queues.drop_batches(spark, requests_path, [("feed", run_id)])
+    raise prog.ProgressConflictError(f"Progress at {progress_path} changed {commits.TRIES} times")
 
 
 def materialize_current_logs(spark: SparkSession, events_path: str, logs_path: str, order: str = "arrival",
