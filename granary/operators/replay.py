@@ -13,11 +13,13 @@ failure is written at ``nsucc`` *after* that success's own write (copy-over happ
 Scale: ``nsucc`` is a suffix minimum over each granule's events. A plain window partitioned by granule would put a hot
 granule in one task, so the order axis is cut into blocks: suffix minima inside ``(granule, block)`` windows (bounded
 size), a per-block summary aggregated map-side, and a suffix minimum over block summaries (one row per block). The
-final pick is a partial ``max_by`` aggregate, so no step holds a whole hot granule.
+final pick is a partial maximum of a fixed-width write order, so no step holds a whole hot granule.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,6 +74,33 @@ def next_success(
     return out if h in events.columns else out.drop(h)
 
 
+# Orders fit into 61 bits with their sign; with the flag, a second order and the outcome's code a write order has 126 bits.
+MAX_ORDER = 1 << 60
+_LOW = 1 << 63
+# Fixed values, ascending: the names that a job outcome may have.
+_JOB_OUTCOMES = ["FAILURE_NONRETRYABLE", "FAILURE_RETRYABLE", "SUCCESS"]
+
+
+def _code(job_outcome: Column, tied: bool) -> Column:
+    """Place of a job outcome's name; only whether it is a success where another column decides between equal events."""
+    code = F.lit(None).cast("int")
+    for k, name in enumerate(_JOB_OUTCOMES):
+        code = F.when(job_outcome == name, int(name == SUCCESS) if tied else k).otherwise(code)
+    return code
+
+
+def _write_order(order: Column, superseded: Column, nsucc: Column, job_outcome: Column, tied: bool) -> Column:
+    """When and as what an event wrote its log object, as one decimal: (nsucc or order, superseded, order, job outcome).
+
+    A fixed-width value, so its maximum is a hash aggregate; and it tells all that the replay knows of the event.
+    """
+    code = F.coalesce(_code(job_outcome, tied), F.raise_error(F.concat(F.lit("unknown job outcome: "), F.coalesce(job_outcome, F.lit("null")))).cast("int"))
+    o = order.cast("bigint")
+    o = F.when(F.abs(o) < MAX_ORDER, o).when(o.isNotNull(), F.raise_error("an order beyond 60 bits").cast("bigint"))
+    high = F.when(superseded, nsucc.cast("bigint") * 2 + 1).otherwise(o * 2)
+    return high.cast("decimal(20,0)") * F.lit(Decimal(_LOW)) + ((o + MAX_ORDER) * 4 + code).cast("decimal(20,0)")
+
+
 def current_job_logs(
     events: DataFrame,
     key: str = "granule_id",
@@ -80,6 +109,7 @@ def current_job_logs(
     job_outcome: str = "job_outcome",
     block_size: int = DEFAULT_BLOCK,
     tie: str | None = None,
+    of_key: list[str] | None = None,
 ) -> DataFrame:
     """One row per log object ``(key, outcome, attempt)`` with the content of the event that wrote it last.
 
@@ -88,26 +118,48 @@ def current_job_logs(
 
     Output: the input columns of the winning event, plus ``outcome`` (success / failure) and ``nsucc``. An input
     ``outcome`` column (the attempt's own outcome) is replaced by the current one.
+
+    Only the order, the attempt and the job outcome go through the windows; the winner is the maximum of a fixed-width
+    write order (a hash aggregate), from which these values come back. ``of_key`` names columns that are functions of the
+    key (they join the grouping key). Other columns are fetched by a join of the events to the winners, so that a wide
+    payload is shuffled once, and a window over each winner's few candidates decides ties.
     """
-    if "outcome" in events.columns:
-        events = events.drop("outcome")
-    h = HASH_COL
-    with_next = next_success(events.withColumn(h, key_hash(key)), key, order, job_outcome, block_size)
+    h, of_key = HASH_COL, of_key or []
+    events = events.drop("outcome") if "outcome" in events.columns else events
+    facts = [key, attempt, order, job_outcome]
+    payload = [c for c in events.columns if c not in (*facts, *of_key)] + ([job_outcome] if tie else [])
+    hashed = events.withColumn(h, key_hash(key))
+    with_next = next_success(hashed.select(h, *facts, *of_key), key, order, job_outcome, block_size)
     nsucc = F.col("nsucc")
     superseded = (F.col(job_outcome) != SUCCESS) & nsucc.isNotNull()
-    write_order = F.struct(
-        F.when(superseded, nsucc).otherwise(F.col(order)).alias("w0"),
-        F.when(superseded, 1).otherwise(0).alias("w1"),
-        F.col(order).alias("w2"),
-        F.col(tie or job_outcome).alias("w3"),
-    )
     outcome = F.when(nsucc.isNotNull(), F.lit(OUTCOME_SUCCESS)).otherwise(F.lit(OUTCOME_FAILURE))
-    payload_cols = [c for c in with_next.columns if c not in (key, attempt, h)]
-    staged = with_next.select(
-        h, key, attempt, outcome.alias("outcome"), F.struct(*payload_cols).alias("_p"), write_order.alias("_w")
+    staged = with_next.select(h, key, *of_key, attempt, outcome.alias("outcome"), _write_order(F.col(order), superseded, nsucc, F.col(job_outcome), bool(tie)).alias("_w"))
+    last = staged.groupBy(h, key, *of_key, "outcome", attempt).agg(F.max("_w").alias("_w"))
+
+    low = F.pmod("_w", F.lit(Decimal(_LOW)))
+    last = last.select("*", low.cast("bigint").alias("_low"), ((F.col("_w") - low) / F.lit(Decimal(_LOW))).cast("bigint").alias("_high"))
+    kind = events.schema[order].dataType
+    code = F.expr("_low % 4").cast("int")
+    current = last.select(
+        h,
+        key,
+        "outcome",
+        attempt,
+        code.alias("_code"),
+        (F.expr("_low div 4") - MAX_ORDER).cast(kind).alias(order),
+        *of_key,
+        F.when(F.col("outcome") == OUTCOME_SUCCESS, F.expr("shiftright(_high, 1)")).cast(kind).alias("nsucc"),
     )
-    picked = staged.groupBy(h, key, "outcome", attempt).agg(F.max_by("_p", "_w").alias("_p"))
-    return picked.select(key, "outcome", attempt, *[F.col("_p").getField(c).alias(c) for c in payload_cols])
+    if payload:
+        ids = [h, key, "_blk", attempt, order, "_code"]
+        own = hashed.withColumn("_code", _code(F.col(job_outcome), bool(tie))).withColumn("_blk", _block(F.col(order), block_size))
+        joined = current.withColumn("_blk", _block(F.col(order), block_size)).join(own.select(*ids, *payload), ids, "inner")
+        # events that are equal in all of these: the largest tie, or any of them
+        rank = F.row_number().over(Window.partitionBy(*ids).orderBy(F.col(tie).desc() if tie else F.lit(0)))
+        current = joined.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank", "_blk")
+    if not tie:
+        current = current.withColumn(job_outcome, F.element_at(F.array(*map(F.lit, _JOB_OUTCOMES)), F.col("_code") + 1))
+    return current.drop(h, "_code")
 
 
 def attempt_history(logs: DataFrame, key: str = "granule_id", attempt: str = "attempt") -> DataFrame:
@@ -131,19 +183,26 @@ def lookup_events(
 
     Every request row comes back once, with ``outcome`` and ``payload`` of the log found and ``found`` false when the
     attempt is logged under neither outcome (the single-object lookup raises for those; ``missing_events`` lists them).
-    ``logs`` is first reduced to one row per (granule, attempt) by a partial aggregate, so the join adds no rows; a
-    pair that many requests ask for is split by the adaptive skew join, as its log side is a single row.
+    ``logs`` is first reduced to one row per (granule, attempt): by a fixed-width maximum for the job outcome, by a ranked
+    window for any other payload. So the join adds no rows; a pair that many requests ask for is split by the adaptive skew join, as its log side is a single row.
     """
     h = HASH_COL
-    best = logs.groupBy(key_hash(key).alias(h), key, attempt).agg(
-        F.max_by(F.struct(F.col("outcome"), F.col(payload)), F.col("outcome") == OUTCOME_SUCCESS).alias("_hit")
-    )
+    if payload == "job_outcome":  # of three names: both fit into one number
+        code = F.array_position(F.array(*map(F.lit, _JOB_OUTCOMES)), F.col(payload))
+        packed = (F.col("outcome") == OUTCOME_SUCCESS).cast("bigint") * 4 + code
+        best = logs.groupBy(key_hash(key).alias(h), key, attempt).agg(F.max(packed).alias("_b"))
+        name = F.get(F.array(*map(F.lit, _JOB_OUTCOMES)), (F.col("_b") % 4 - 1).cast("int"))
+        best = best.select(h, key, attempt, F.when(F.col("_b") >= 4, OUTCOME_SUCCESS).otherwise(OUTCOME_FAILURE).alias("_o"), name.alias("_p"))
+    else:
+        keyed = logs.select(key_hash(key).alias(h), key, attempt, F.col("outcome").alias("_o"), F.col(payload).alias("_p"))
+        first = Window.partitionBy(h, key, attempt).orderBy((F.col("_o") == OUTCOME_SUCCESS).desc())
+        best = keyed.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") == 1).drop("_n")
     joined = requests.withColumn(h, key_hash(key)).join(best, [h, key, attempt], "left")
     return joined.select(
         *[F.col(c) for c in requests.columns],
-        F.col("_hit.outcome").alias("outcome"),
-        F.col("_hit").getField(payload).alias(payload),
-        F.col("_hit").isNotNull().alias("found"),
+        F.col("_o").alias("outcome"),
+        F.col("_p").alias(payload),
+        F.col("_o").isNotNull().alias("found"),
     )
 
 

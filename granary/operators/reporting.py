@@ -6,7 +6,7 @@ the shuffle, not one row per log object.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.functions import jobs, paths
@@ -148,15 +148,19 @@ def failures_view(job_logs: DataFrame) -> DataFrame:
     """Newest failed attempt per granule, with the last try's exit code, times, reason and log stream.
 
     ``job_logs`` has the log layout columns (``outcome, platform, acquisition_date`` as partition values,
-    ``granule_id, attempt, job_info`` and the object ``key``). One ``max_by`` over a struct of the last try's five values
-    and the key replaces eight separate ones; platform and date are functions of the granule, so they are part of the
-    grouping key. The partition filter on ``outcome`` prunes the success half of the log.
+    ``granule_id, attempt, job_info`` and the object ``key``). Only the last try's five values travel; a ranked window keeps
+    one row per granule, first within each task and then of them all. The partition filter on ``outcome`` prunes the success
+    half of the log.
     """
     last_try = jobs.last_attempt(F.col("job_info").getField("attempts"))
     failed = job_logs.filter(F.col("outcome") == OUTCOME_FAILURE).select(
-        "granule_id", "attempt", "platform", F.col("acquisition_date").alias("_acq"), "key", last_try.alias("_t")
+        key_hash("granule_id").alias(HASH_COL), "granule_id", "attempt", "platform", F.col("acquisition_date").alias("_acq"), "key", last_try.alias("_t")
     )
-    newest = F.struct(
+    newest = failed.select(
+        HASH_COL,
+        "granule_id",
+        "platform",
+        "_acq",
         "attempt",
         F.col("_t.container.exitCode").alias("exit_code"),
         F.col("_t.startedAt").alias("started"),
@@ -165,22 +169,20 @@ def failures_view(job_logs: DataFrame) -> DataFrame:
         F.col("_t.container.logStreamName").alias("stream"),
         "key",
     )
-    failed = failed.select("granule_id", "platform", "_acq", "attempt", newest.alias("_n"))
-    picked = failed.groupBy(key_hash("granule_id").alias(HASH_COL), "granule_id", "platform", "_acq").agg(
-        F.max_by("_n", "attempt").alias("_n")
-    )
+    latest = Window.partitionBy(HASH_COL, "granule_id").orderBy(F.col("attempt").desc())
+    picked = newest.withColumn("_n", F.row_number().over(latest)).filter(F.col("_n") <= 1)
     return picked.select(
         F.lit(OUTCOME_FAILURE).alias("outcome"),
         "platform",
         F.to_timestamp(F.col("_acq"), "yyyy-MM-dd").alias("acquisition_date"),
         "granule_id",
-        F.col("_n.attempt").alias("attempt"),
-        F.col("_n.exit_code").alias("exit_code"),
-        jobs.millis_to_timestamp(F.col("_n.started")).alias("started_at"),
-        jobs.millis_to_timestamp(F.col("_n.stopped")).alias("stopped_at"),
-        F.col("_n.reason").alias("status_reason"),
-        F.col("_n.stream").alias("logstream_name"),
-        F.col("_n.key").alias("key"),
+        F.col("attempt").alias("attempt"),
+        F.col("exit_code").alias("exit_code"),
+        jobs.millis_to_timestamp(F.col("started")).alias("started_at"),
+        jobs.millis_to_timestamp(F.col("stopped")).alias("stopped_at"),
+        F.col("reason").alias("status_reason"),
+        F.col("stream").alias("logstream_name"),
+        F.col("key").alias("key"),
     )
 
 

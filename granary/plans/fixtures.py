@@ -109,7 +109,7 @@ REPLAY_COLUMNS = ["granule_id", "attempt", "job_outcome", "seq"]
 def current_logs(spark: SparkSession, sf_dir: str, extra: list[str] | None = None) -> DataFrame:
     """Replayed log state of ``job_events``; only the replay columns plus ``extra`` are carried through the shuffles."""
     events = job_events(spark, sf_dir).select(*REPLAY_COLUMNS, *(extra or []))
-    return current_job_logs(events, order="seq")
+    return current_job_logs(events, order="seq", of_key=extra)  # all of them are functions of the granule
 
 
 def log_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
