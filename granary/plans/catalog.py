@@ -801,8 +801,8 @@ def stream_state_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "state-replay")
     incoming, sink = f"{base}/incoming", f"{base}/emissions"
     events = routing.log_rows(_routed(spark, sf_dir), order="seq")
-    events.select("granule_id", "attempt", "job_outcome", F.col("seq").cast("bigint").alias("arrival")).write.parquet(incoming)
-    stream = spark.readStream.schema("granule_id string, attempt int, job_outcome string, arrival bigint").parquet(incoming)
+    events.select("granule_id", "attempt", "job_outcome", F.col("seq").cast("bigint").alias("arrival"), F.col("job_info.jobId").alias("id")).write.parquet(incoming)
+    stream = spark.readStream.schema("granule_id string, attempt int, job_outcome string, arrival bigint, id string").parquet(incoming)
     replay_state.start_state_replay(stream, sink, f"{base}/_checkpoint", available_now=True).awaitTermination()
     current = replay_state.current_from_emissions(spark.read.parquet(sink).drop("producer"))
     return current.select("granule_id", "outcome", "attempt", "job_outcome", "arrival")
@@ -941,6 +941,22 @@ def stream_monitor_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.unionByName(spark.read.parquet(sinks.log_events).select(F.lit("logged").alias("reason"), "id"))
 
 
+@register("retention_queue", _CLASSIFIED + """
+select message_id, body, failure_type, cast(k % 3 as bigint) batch from queue_msgs where k % 3 > 0
+""")
+def retention_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A queue table of batches of three ages after its retention of 14 days: the oldest one is gone."""
+    path = scratch_path(spark, "retention-queue")
+    routed = _routed(spark, sf_dir)
+    rows = routing.queue_rows(routed, "retry").unionByName(routing.queue_rows(routed, "failure"))
+    k = F.split_part("message_id", F.lit("-"), F.lit(2)).cast("long")
+    now, day = 1_750_000_000_000, 86_400_000
+    for batch, age in enumerate((15 * day, 14 * day, 0)):
+        queues.append_batch(rows.filter(k % 3 == batch), path, "monitor", batch, at_ms=now - age)
+    jobs.expire_queue(spark, path, keep_days=14, now_ms=now)
+    return queues.read_queue(spark, path).select("message_id", "body", "failure_type", F.col("batch_id").alias("batch"))
+
+
 @register("redrive_all", _CLASSIFIED + """
 select message_id, body, failure_type from queue_msgs where route = 'failure'
 """)
@@ -1034,6 +1050,25 @@ def missing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay.missing_events(requests, fx.current_logs(spark, sf_dir)).select("granule_id", "seq", "attempt")
 
 
+@register("stream_state_ties", _TIES + """
+select granule_id, outcome, attempt, job_outcome, arrival from t_current
+""")
+def stream_state_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log state kept as streaming state over several micro-batches of events that arrive two at a time, also across
+    micro-batches: equal to ``replay_ties``."""
+    base = scratch_path(spark, "state-ties")
+    columns = ["granule_id", "attempt", "job_outcome", F.col("arrival").cast("bigint").alias("arrival"), "id"]
+    ties = _ties(spark, sf_dir).withColumn("seq", F.split_part("id", F.lit("-"), F.lit(3)).cast("int"))
+    incoming, sink = f"{base}/incoming", f"{base}/emissions"
+    schema = "granule_id string, attempt int, job_outcome string, arrival bigint, id string"
+    for low, high in ((0, 1), (1, 4), (4, 99)):  # each lands after the stream has taken the one before
+        ties.filter((F.col("seq") > low) & (F.col("seq") <= high)).select(*columns).write.mode("append").parquet(incoming)
+        stream = spark.readStream.schema(schema).parquet(incoming)
+        replay_state.start_state_replay(stream, sink, f"{base}/_checkpoint", available_now=True).awaitTermination()
+    current = replay_state.current_from_emissions(spark.read.parquet(sink).drop("producer"))
+    return current.select("granule_id", "outcome", "attempt", "job_outcome", "arrival")
+
+
 # ---------------------------------------------------------------------------------------------------------------------
 # Storage round trips: listings, inventories, discovery, listings of the log, progress and report files
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -158,6 +159,12 @@ def redrive_from_queue(spark: SparkSession, failure_path: str, retry_path: str,
     queues.drop_batches(spark, failure_path, before)
 
 
+def expire_queue(spark: SparkSession, path: str, keep_days: int = 14, now_ms: int | None = None) -> list[tuple[str, int]]:
+    """Retention of a queue table: drop the batches older than ``keep_days``; returns their producers and numbers."""
+    now = int(time.time() * 1000) if now_ms is None else now_ms
+    return queues.expire_batches(spark, path, now - keep_days * 86_400_000)
+
+
 def drop_old_listings(spark: SparkSession, location: str, keep_days: int = 14) -> list[str]:
     """Retention of a ``dt=``-partitioned listing: drop partitions older than ``keep_days`` before the newest one."""
     days = sorted(n.removeprefix("dt=") for n in list_folder(spark, location) if n.startswith("dt="))

@@ -79,7 +79,7 @@ def path_of(spark: SparkSession, path: str):
     return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
 
 
-def _paths(spark: SparkSession, statuses) -> list[str]:
+def file_paths(spark: SparkSession, statuses) -> list[str]:
     """Paths of file statuses as text, in one call to the JVM."""
     jvm = spark._jvm
     joined = jvm.scala.collection.mutable.ArraySeq.make(jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(statuses)).mkString("\n")
@@ -89,13 +89,13 @@ def _paths(spark: SparkSession, statuses) -> list[str]:
 def list_folder(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder of any Hadoop file system, sorted; empty if there is no such folder."""
     files, folder = path_of(spark, path)
-    return sorted(p.rsplit("/", 1)[-1] for p in _paths(spark, files.listStatus(folder))) if files.exists(folder) else []
+    return sorted(p.rsplit("/", 1)[-1] for p in file_paths(spark, files.listStatus(folder))) if files.exists(folder) else []
 
 
 def list_partitions(spark: SparkSession, path: str, depth: int) -> list[str]:
     """Partition folders (``name=value/...``, ``depth`` names) below a folder, by listing alone."""
     files, pattern = path_of(spark, f"{path.rstrip('/')}/{'/'.join(['*=*'] * depth)}")
-    return sorted("/".join(p.rsplit("/", depth)[-depth:]) for p in _paths(spark, files.globStatus(pattern)))
+    return sorted("/".join(p.rsplit("/", depth)[-depth:]) for p in file_paths(spark, files.globStatus(pattern)))
 
 
 def delete_folders(spark: SparkSession, paths: list[str]) -> None:

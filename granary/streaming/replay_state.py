@@ -1,12 +1,13 @@
 """Incremental log state (T7, stateful form): the current log objects of each granule kept as streaming state.
 
 The default form of the current log state is a view (``replay.current_job_logs``) over the append-only event table.
-This form keeps, per granule, only its current log objects ``(outcome, attempt) -> (arrival, job_outcome)`` and
-applies the log rules as events arrive: write the attempt under its outcome; on a success, move every failure logged
-so far under ``success`` at the same attempt number, overwriting what is there. State per granule is bounded by its
+This form keeps, per granule, its current log objects ``(outcome, attempt)`` with the write order and job outcome of the
+event that wrote each, and the arrival of its last success. It applies the rules of the replay as events arrive: a
+success supersedes every failure that arrived no later than itself, also one of the same arrival that comes in a later
+micro-batch; an object keeps the content of the largest write order ``(written, superseded, arrival, id)``. State per granule is bounded by its
 attempt numbers, not by its number of events. In update mode each micro-batch emits the full current state of the
-granules it touched; the newest emission per granule is the current state. Events must arrive in arrival order
-across micro-batches (within a batch they are ordered by ``arrival``). On a cluster, use the RocksDB state store
+granules it touched; the newest emission per granule is the current state. Arrivals must not
+go back from one micro-batch to the next (equal ones may; within a batch any order will do). On a cluster, use the RocksDB state store
 provider for large state. The events of one granule within one micro-batch are applied by one task, so for bulk
 backfills (history loaded at once) the view form, which splits hot granules into blocks, is the one to use; this form
 suits the steady trickle of state changes.
@@ -27,40 +28,66 @@ from granary.sources.queues import append_batch
 
 PRODUCER = "state-replay"
 
-STATE_SCHEMA = "outcomes array<string>, attempts array<int>, arrivals array<bigint>, job_outcomes array<string>"
+STATE_SCHEMA = (
+    "outcomes array<string>, attempts array<int>, written array<bigint>, superseded array<boolean>, arrivals array<bigint>, "
+    "ids array<string>, job_outcomes array<string>, last_success bigint"
+)
 OUTPUT_SCHEMA = "granule_id string, outcome string, attempt int, job_outcome string, arrival bigint"
 
+Write = tuple[int, bool, int, str, str]  # written at, superseded, arrival, event id, job outcome
+
+
+def applied(store: dict[tuple[str, int], Write], last_success: int | None, events: list[tuple[int, bool, str, int, str]]) -> int | None:
+    """Put events ``(arrival, is a success, id, attempt, job outcome)`` into the log objects; returns the last success.
+
+    Failures go before the successes that arrive with them.
+    """
+    for arrival, success, event_id, attempt, job_outcome in sorted(events):
+        late = not success and last_success is not None and arrival <= last_success
+        write = (last_success if late else arrival, late, arrival, event_id, job_outcome)
+        key = ("success" if success or late else "failure", attempt)
+        store[key] = max(store[key], write) if key in store else write
+        if success:
+            last_success = arrival
+            for failed in [k for k in store if k[0] == "failure"]:
+                _, _, at, failed_id, name = store.pop(failed)
+                moved = (arrival, True, at, failed_id, name)
+                key = ("success", failed[1])
+                store[key] = max(store[key], moved) if key in store else moved
+    return last_success
+
 
 def apply_events(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """Advance one granule's log objects by the events of this micro-batch."""
     (granule_id,) = key
-    store: dict[tuple[str, int], tuple[int, str]] = {}
+    store: dict[tuple[str, int], Write] = {}
+    last_success = None
     if state.exists:
-        outcomes, attempts, arrivals, job_outcomes = state.get
-        store = {(o, int(a)): (int(s), j) for o, a, s, j in zip(outcomes, attempts, arrivals, job_outcomes)}
-    events = pd.concat(list(batches)).sort_values("arrival")
-    for attempt, job_outcome, arrival in zip(events["attempt"], events["job_outcome"], events["arrival"]):
-        outcome = "success" if job_outcome == "SUCCESS" else "failure"
-        store[(outcome, int(attempt))] = (int(arrival), job_outcome)
-        if outcome == "success":
-            for failed in [k for k in store if k[0] == "failure"]:
-                store[("success", failed[1])] = store.pop(failed)
+        outcomes, attempts, *columns, last_success = state.get
+        for outcome, attempt, written, superseded, arrival, event_id, job_outcome in zip(outcomes, attempts, *columns, strict=True):
+            store[(outcome, int(attempt))] = (int(written), bool(superseded), int(arrival), event_id, job_outcome)
+        last_success = None if pd.isna(last_success) else int(last_success)
+    events = [
+        (int(arrival), job_outcome == "SUCCESS", event_id or "", int(attempt), job_outcome)
+        for frame in batches
+        for attempt, job_outcome, arrival, event_id in zip(frame["attempt"], frame["job_outcome"], frame["arrival"], frame["id"], strict=True)
+    ]
+    last_success = applied(store, last_success, events)
     keys = sorted(store)
-    state.update((
-        [k[0] for k in keys], [k[1] for k in keys], [store[k][0] for k in keys], [store[k][1] for k in keys],
-    ))
+    columns = [[store[k][c] for k in keys] for c in range(5)]
+    state.update(([k[0] for k in keys], [k[1] for k in keys], *columns, last_success))
     yield pd.DataFrame({
         "granule_id": [granule_id] * len(keys),
         "outcome": [k[0] for k in keys],
         "attempt": pd.Series([k[1] for k in keys], dtype="int32"),
-        "job_outcome": [store[k][1] for k in keys],
-        "arrival": pd.Series([store[k][0] for k in keys], dtype="int64"),
+        "job_outcome": columns[4],
+        "arrival": pd.Series(columns[2], dtype="int64"),
     })
 
 
 def start_state_replay(events: DataFrame, sink: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    """Stream ``granule_id, attempt, job_outcome, arrival`` rows into per-granule state; emissions go to ``sink``."""
-    updates = events.select("granule_id", "attempt", "job_outcome", "arrival").groupBy("granule_id").applyInPandasWithState(
+    """Stream ``granule_id, attempt, job_outcome, arrival, id`` rows into per-granule state; emissions go to ``sink``."""
+    updates = events.select("granule_id", "attempt", "job_outcome", "arrival", "id").groupBy("granule_id").applyInPandasWithState(
         apply_events, OUTPUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout
     )
     writer = updates.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(
