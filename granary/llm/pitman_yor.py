@@ -1,6 +1,6 @@
 """Hierarchical Pitman-Yor language model over one-word contexts, trained and applied across shards of words.
 
-A word's restaurant is that of its context, the word before it, known by its 64-bit hash: there are as many restaurants
+A word's restaurant is that of its context, the word before it, known by its 56-bit hash: there are as many restaurants
 as the training texts have words. They all share one parent, the restaurant of single words, whose parent is uniform
 over the V known words and one for all others:
 
@@ -27,7 +27,7 @@ of each word, each pair and, as owners, each context, and the answers meet the b
 The number of shards follows the size of the texts; a shard with hot words is answered in as many parts as its tokens
 ask for, each with its own copy of the shard's model.
 
-Words are identified by 64-bit hashes. Defined cases: null and empty texts are the end token alone; without training
+Words are identified by 56-bit hashes. Defined cases: null and empty texts are the end token alone; without training
 rows all words are unknown; an empty table has an empty result; a null id counts as fold 0; repeated rows are texts of
 their own; other columns are ignored.
 """
@@ -62,7 +62,9 @@ SHARD_TOKENS = 16_000_000
 BATCH_TOKENS = 1_000_000
 SEED = 7
 
-END = np.uint64(0x5DEECE66D1CE4E5B)
+# Words are told apart by the first 56 bits of their hashes: the last byte is zero and packs to nothing.
+_HASH_BITS = ~np.uint64(0xFF)
+END = np.uint64(0x5DEECE66D1CE4E5B) & _HASH_BITS
 _TABLE = space_table(lower=True)
 
 
@@ -116,7 +118,7 @@ class Tokens:
 def tokens_of(col: pa.Array) -> Tokens:
     words = words_of(col, _TABLE)
     counts = words.counts()
-    return Tokens(np.insert(words.hashes, np.cumsum(counts), END), counts + 1)
+    return Tokens(np.insert(words.hashes & _HASH_BITS, np.cumsum(counts), END), counts + 1)
 
 
 def batches_of(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[list, Tokens]]:
