@@ -110,6 +110,7 @@ def current_job_logs(
     block_size: int = DEFAULT_BLOCK,
     tie: str | None = None,
     of_key: list[str] | None = None,
+    fetch: bool = True,
 ) -> DataFrame:
     """One row per log object ``(key, outcome, attempt)`` with the content of the event that wrote it last.
 
@@ -122,18 +123,26 @@ def current_job_logs(
     Only the order, the attempt and the job outcome go through the windows; the winner is the maximum of a fixed-width
     write order (a hash aggregate), from which these values come back. ``of_key`` names columns that are functions of the
     key (they join the grouping key). Other columns are fetched by a join of the events to the winners, so that a wide
-    payload is shuffled once, and a window over each winner's few candidates decides ties.
+    payload is shuffled once, and a window over each winner's few candidates decides ties. Without ``fetch`` they are
+    carried along and a ranked window picks the winner: for events that are dear to compute a second time.
     """
     h, of_key = HASH_COL, of_key or []
     events = events.drop("outcome") if "outcome" in events.columns else events
     facts = [key, attempt, order, job_outcome]
     payload = [c for c in events.columns if c not in (*facts, *of_key)] + ([job_outcome] if tie else [])
     hashed = events.withColumn(h, key_hash(key))
-    with_next = next_success(hashed.select(h, *facts, *of_key), key, order, job_outcome, block_size)
+    carried = payload if payload and not fetch else []
+    with_next = next_success(hashed.select(h, *facts, *of_key, *(c for c in carried if c not in facts)), key, order, job_outcome, block_size)
     nsucc = F.col("nsucc")
     superseded = (F.col(job_outcome) != SUCCESS) & nsucc.isNotNull()
     outcome = F.when(nsucc.isNotNull(), F.lit(OUTCOME_SUCCESS)).otherwise(F.lit(OUTCOME_FAILURE))
-    staged = with_next.select(h, key, *of_key, attempt, outcome.alias("outcome"), _write_order(F.col(order), superseded, nsucc, F.col(job_outcome), bool(tie)).alias("_w"))
+    written = _write_order(F.col(order), superseded, nsucc, F.col(job_outcome), bool(tie)).alias("_w")
+    if carried:
+        columns = [key, "outcome", attempt, job_outcome, order, *of_key, "nsucc", *(c for c in payload if c not in facts)]
+        last = Window.partitionBy(h, key, "outcome", attempt).orderBy(F.col("_w").desc(), *([F.col(tie).desc()] if tie else []))
+        ranked = with_next.withColumn("outcome", outcome).withColumn("_w", written).withColumn("_rank", F.row_number().over(last))
+        return ranked.filter(F.col("_rank") <= 1).select(*columns)
+    staged = with_next.select(h, key, *of_key, attempt, outcome.alias("outcome"), written)
     last = staged.groupBy(h, key, *of_key, "outcome", attempt).agg(F.max("_w").alias("_w"))
 
     low = F.pmod("_w", F.lit(Decimal(_LOW)))

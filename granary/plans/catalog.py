@@ -549,7 +549,8 @@ def _job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     logs = routing.log_rows(_routed(spark, sf_dir), order="seq")
     last_try = F.struct(F.slice(F.col("job_info.attempts"), -1, 1).alias("attempts"))
-    current = replay.current_job_logs(logs.withColumn("job_info", last_try), order="seq")
+    logs = logs.withColumn("job_info", last_try)
+    current = replay.current_job_logs(logs, order="seq", of_key=["platform", "acquisition_date"], fetch=False)
     return routing.with_log_key(current, "logs")
 
 
