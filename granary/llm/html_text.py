@@ -52,6 +52,11 @@ _DROPPED_WORDS = set(
     " comment comments reply replies disqus respond share sharing social follow related recommended newsletter subscribe signup"
     " login search toolbar pagination pager skip copyright disclaimer".split()
 )
+# Words that only say what kind of box a marked one is: with them a compound class still marks a block of an article.
+_BOX_WORDS = set(
+    "box block bar area list lists item items link links button buttons icon icons wrapper wrap container section group inner outer"
+    " slot unit panel posts stories articles content form top bottom left right main js".split()
+)
 _COMMENT_WORDS = {"comment", "comments", "reply", "replies", "disqus", "respond"}
 _NEGATIONS = {"no", "has", "with", "without", "not"}
 
@@ -69,6 +74,21 @@ def _words(value: str) -> list[str]:
     return re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())
 
 
+def _marks(value: str, inside: bool) -> set[str]:
+    """Words of a class or id that mark a dropped section.
+
+    Inside an article a name counts as a whole: ``share-price``, ``ad-hoc`` or ``search-results`` name a part of the text,
+    ``share``, ``share-buttons`` or ``related-posts`` don't.
+    """
+    found: set[str] = set()
+    for name in value.split():
+        words = _words(name)
+        marks = {w for w, before in zip(words, ["", *words], strict=False) if w in _DROPPED_WORDS and before not in _NEGATIONS}
+        if not inside or all(w in _DROPPED_WORDS or w in _BOX_WORDS for w in words):
+            found |= marks
+    return found
+
+
 def _mark(first: int, name: str, attributes: str, above: _Element | None) -> _Element:
     """What an element is, from its name, its attributes and the element around it."""
     inside = bool(above and above.article)
@@ -77,8 +97,7 @@ def _mark(first: int, name: str, attributes: str, above: _Element | None) -> _El
         for key, value in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), value.strip("\"'")
             if key in ("class", "id"):
-                words = _words(value)
-                marks = {w for w, before in zip(words, ["", *words], strict=False) if w in _DROPPED_WORDS and before not in _NEGATIONS}
+                marks = _marks(value, inside or name in ("article", "main"))
                 dropped |= bool(marks)
                 comments |= bool(marks & _COMMENT_WORDS)
             elif key == "role":
