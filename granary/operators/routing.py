@@ -12,9 +12,8 @@ from granary.functions import events as ev
 from granary.functions import jobs
 from granary.functions import paths as pth
 from granary.functions.granules import acquisition_date, platform
-from granary.operators.inventory import number_rows
-
-_POSITION = "_position"
+from granary.operators.selection import split_first
+from granary.session import scratch_path
 
 # Fixed value: event source of the job scheduler's state changes.
 BATCH_SOURCE = "aws.batch"
@@ -106,21 +105,21 @@ def with_log_key(logs: DataFrame, prefix: str = "logs") -> DataFrame:
 def redrive_queue(failures: DataFrame, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Move failure-table messages to the retry table: all of them, or the first ``limit`` by message id.
 
-    Returns ``(moved, remaining)``, together exactly the input, also when messages share an id or are equal: rows get
-    their position in a total order once, as stored data, and both sides are filters on it.
+    Returns ``(moved, remaining)``, together exactly the input, also when messages share an id or are equal. The cut is
+    found by selection (``operators.selection``): the table is neither sorted nor copied.
     """
     if limit is None:
         return failures, failures.filter(F.lit(False))
-    order = [F.col(c).asc() for c in ("message_id", "body", "failure_type")]
-    numbered = number_rows(failures, order, seq_col=_POSITION)
-    return numbered.filter(F.col(_POSITION) < limit).drop(_POSITION), numbered.filter(F.col(_POSITION) >= limit).drop(_POSITION)
+    return split_first(failures, ["message_id", "body", "failure_type"], limit)
 
 
 def redrive_logs(failure_view: DataFrame, max_attempts: int = 3, limit: int | None = None) -> DataFrame:
     """Retry-table messages for failed granules whose newest attempt is below ``max_attempts`` (attempt kept)."""
     candidates = failure_view.filter(F.col("attempt") < max_attempts)
-    if limit is not None:  # one row per granule, so the position is unique; nothing of the user's size meets in a task
-        candidates = number_rows(candidates, [F.col("granule_id").asc()], seq_col=_POSITION).filter(F.col(_POSITION) < limit)
+    if limit is not None:  # the view is stored in these two columns, as the selection scans it some times
+        path = scratch_path(candidates.sparkSession, "redrive")
+        candidates.select("granule_id", "attempt").write.parquet(path)
+        candidates, _ = split_first(candidates.sparkSession.read.parquet(path), ["granule_id"], limit)
     return candidates.select(
         "granule_id",
         "attempt",
