@@ -9,7 +9,6 @@ reaches ``CACHE_WORDS`` entries, which bounds memory and changes no result.
 from __future__ import annotations
 
 import itertools
-import json
 import os
 import re
 from collections.abc import Iterator
@@ -21,7 +20,7 @@ import pyarrow.compute as pc
 from granary.llm.textnp import slices
 
 CACHE_WORDS = 500_000
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 JOINED = 500  # plain words that the model takes at a time
 DEFAULT_TOKENIZER = "word_bpe_49k.json"
 
@@ -54,12 +53,10 @@ class ChunkEncoder:
         # the model alone, for many plain words at a time; each word's ids end with one that carries the word-end suffix
         self.words = Tokenizer(self.tokenizer.model)
         self.words.pre_tokenizer = WhitespaceSplit()
-        vocabulary = self.tokenizer.get_vocab()
-        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        suffix, size = self.tokenizer.model.end_of_word_suffix, self.tokenizer.get_vocab_size()
         if not suffix:
             raise ValueError(f"a tokenizer without word ends: {name}")
-        self.ends = np.zeros(1 + max(vocabulary.values()), bool)
-        self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self.ends = np.fromiter(((self.tokenizer.id_to_token(i) or "").endswith(suffix) for i in range(size)), bool, size)
         self._clear()
 
     def _clear(self) -> None:
