@@ -75,7 +75,11 @@ class SuffixAutomaton:
             self.short[state] = (self.short[up] if up > 0 else []) + short.get(state, [])
 
     def run(self, words: list[int]) -> tuple[list[int], list[tuple[int, int]], set[int]]:
-        """(longest match ending at each word, hit spans [first, end), items whose windows occur) of a word run."""
+        """(longest match, hit spans [first, end), items whose windows occur) of a word run.
+
+        The longest match ending at a word is 0 where it holds no whole window, so it is the same whatever other items
+        the automaton has.
+        """
         length, link, edges, window = self.length, self.link, self.next, self.window
         state, size = 0, 0
         longest, spans, found = [], [], set()
@@ -88,15 +92,15 @@ class SuffixAutomaton:
                 state = size = 0
             else:
                 state, size = target, size + 1
-            longest.append(size)
-            first = at + 1
+            first, match = at + 1, 0
             if size >= window:
-                first = at + 1 - window
+                first, match = at + 1 - window, size
                 found |= self.items[self.window_state[state]]
             for need, item in self.short[state]:
                 if need <= size:
                     found.add(item)
-                    first = min(first, at + 1 - need)
+                    first, match = min(first, at + 1 - need), max(match, need)
+            longest.append(match)
             if first <= at:
                 if spans and spans[-1][1] >= first:
                     spans[-1] = (min(spans[-1][0], first), at + 1)

@@ -9,9 +9,13 @@ Before the automaton runs, vectorised look-ups leave out words that no window ca
 vocabulary and breaks between words that never follow each other in an item. The automaton's match would fall below
 two words there anyway, so nothing is lost; it walks the runs that remain and are long enough for a window.
 
-Scale: items are dealt into blocks of about ``block_words`` words by a hash of their id, and one automaton is built
-and broadcast per block, so the broadcast is bounded by the parameter however large the benchmark is. One block (the
-usual case) is one map-only pass over the documents; with more, the passes' spans are brought together by row.
+Scale: items are dealt into blocks of about ``block_words`` words by a hash of their id. A block's texts are broadcast,
+and a worker process builds its automaton once and keeps the last one (about 1 KB a word), so both are bounded by the
+parameter however large the benchmark is. One block (the usual case) is one map-only pass over the documents. With more,
+the documents are stored once with a row number and every block is one pass over them; the hit spans of all passes are
+brought together by row before ``min_match`` and ``max_coverage`` judge them, so the number of blocks changes no result.
+
+Matches count from a whole window on: ``longest_match`` is 0 for a document that no window occurs in.
 
 Defined cases: null and empty texts have no words and no hits; items without words match nothing; repeated rows are
 treated each on their own; an empty benchmark leaves every document clean; other columns are ignored.
@@ -20,23 +24,26 @@ treated each on their own; an empty benchmark leaves every document clean; other
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.llm.automaton import SuffixAutomaton
 from granary.llm.textnp import ALNUM_TABLE, Words, slices, words_of
+from granary.session import scratch_path
 
 WINDOW = 10
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS = 300_000
 MAX_COVERAGE = 0.5
 
 RESULT = (
     "row_id long, doc_id long, n_words long, n_hit long, longest_match long, "
-    "spans array<struct<first:long,end:long>>, items array<string>, clean_text string"
+    "spans array<struct<first:long,end:long,longest:long>>, items array<string>, clean_text string"
 )
 
 
@@ -94,20 +101,46 @@ class ItemBlock:
             yield int(firsts[k]), int(ends[k]), ids[firsts[k] : ends[k]].tolist()
 
 
-def _clean(words: Words, doc: int, first_word: int, spans: list[tuple[int, int]]) -> str:
+def _clean(words: Words, doc: int, first_word: int, spans: list[dict]) -> str:
     """Text of a document without the bytes from the first to the last word of each span."""
     begin, end = int(words.doc_offsets[doc]), int(words.doc_offsets[doc + 1])
     parts, at = [], begin
-    for a, b in spans:
-        parts.append(words.buf[at : words.starts[first_word + a]].tobytes())
-        at = int(words.ends[first_word + b - 1])
+    for s in spans:
+        parts.append(words.buf[at : words.starts[first_word + s["first"]]].tobytes())
+        at = int(words.ends[first_word + s["end"] - 1])
     parts.append(words.buf[at:end].tobytes())
     return b"".join(parts).decode("utf-8", errors="replace")
 
 
-def _spans(mask: np.ndarray) -> list[tuple[int, int]]:
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], mask.astype(np.int8), [0]])))
-    return list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
+_built: dict[str, ItemBlock] = {}
+
+
+def _block(key: str, shared: Broadcast, window: int) -> ItemBlock:
+    """The automaton of a broadcast block, built once in a worker process, which keeps the last one."""
+    if key not in _built:
+        _built.clear()
+        _built[key] = ItemBlock(*shared.value, window)
+    return _built[key]
+
+
+def _united(spans: list[dict] | None) -> list[dict]:
+    """Overlapping and touching spans as one, with the longest match in it."""
+    out: list[dict] = []
+    for s in sorted(spans or [], key=lambda s: (s["first"], s["end"])):
+        if out and s["first"] <= out[-1]["end"]:
+            out[-1]["end"] = max(out[-1]["end"], s["end"])
+            out[-1]["longest"] = max(out[-1]["longest"], s["longest"])
+        else:
+            out.append(dict(s))
+    return out
+
+
+def _n_hit(united: list[dict]) -> int:
+    return sum(s["end"] - s["first"] for s in united)
+
+
+def _reaching(united: list[dict], min_match: int) -> list[dict]:
+    return [s for s in united if s["longest"] >= min_match]
 
 
 def _scan(block: ItemBlock, col: pa.Array, min_match: int, with_text: bool) -> list[tuple]:
@@ -115,33 +148,30 @@ def _scan(block: ItemBlock, col: pa.Array, min_match: int, with_text: bool) -> l
     words = words_of(col, ALNUM_TABLE)
     counts = words.counts()
     first_word = np.cumsum(counts) - counts
-    hits: dict[int, tuple[np.ndarray, np.ndarray, set[int]]] = {}
+    hits: dict[int, tuple[list[dict], set[int]]] = {}
     for first, end, run in block.runs(words):
         longest, spans, found = block.automaton.run(run)
         if not found:
             continue
         doc = int(words.doc[first])
-        if doc not in hits:
-            hits[doc] = (np.zeros(counts[doc], bool), np.zeros(counts[doc], np.int64), set())
-        mask, match, items = hits[doc]
         base = first - int(first_word[doc])
-        for a, b in spans:
-            mask[base + a : base + b] = True
-        match[base : base + len(longest)] = longest
+        doc_spans, items = hits.setdefault(doc, ([], set()))
+        doc_spans += [{"first": base + a, "end": base + b, "longest": max(longest[a:b])} for a, b in spans]
         items |= found
     out = []
     for doc in range(words.n_docs):
         if doc not in hits:
             out.append((int(counts[doc]), 0, 0, [], [], None))
             continue
-        mask, match, items = hits[doc]
-        spans = [s for s in _spans(mask) if match[s[0] : s[1]].max() >= min_match]
+        united = _united(hits[doc][0])
+        spans = _reaching(united, min_match)
         text = _clean(words, doc, int(first_word[doc]), spans) if with_text and spans else None
-        names = sorted(block.automaton.names[k] for k in items)
-        out.append((int(counts[doc]), int(mask.sum()), int(match.max()), [{"first": a, "end": b} for a, b in spans], names, text))
+        names = sorted(block.automaton.names[k] for k in hits[doc][1])
+        out.append((int(counts[doc]), _n_hit(united), max(s["longest"] for s in united), spans, names, text))
     return out
 
 
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # before lower-casing
 _ROW, _SPANS = "__decontamination_row", "__decontamination_spans"  # never names of the caller's columns
 _TYPES = {
     "row_id": pa.int64(),
@@ -149,19 +179,18 @@ _TYPES = {
     "n_words": pa.int64(),
     "n_hit": pa.int64(),
     "longest_match": pa.int64(),
-    "spans": pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())])),
+    "spans": pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64()), ("longest", pa.int64())])),
     "items": pa.list_(pa.string()),
     "clean_text": pa.string(),
 }
 
 
 def item_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> list[DataFrame]:
-    """The benchmark dealt into blocks of about ``block_words`` words (counted as runs between white space)."""
+    """The benchmark dealt into blocks of about ``block_words`` words."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
     items = items.filter(F.col("text").isNotNull())
-    # letters of a word and what parts it take two characters at least, so this bounds the number of words
-    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(total / 2 / block_words))
+    total = items.agg(F.sum(F.regexp_count("text", F.lit(_WORD)))).first()[0] or 0
+    blocks = max(1, math.ceil(total / block_words))
     return [items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k) for k in range(blocks)]
 
 
@@ -178,20 +207,24 @@ def match_spans(
     ``clean_text`` is the text without the spans whose longest match reaches ``min_match``; null when none goes.
     """
     spark: SparkSession = docs.sparkSession
-    source = _source(docs)
     blocks = item_blocks(benchmark, block_words)
-    parts = [_match_block(spark, source, block, window, min_match, with_text and len(blocks) == 1) for block in blocks]
-    if len(parts) == 1:
-        return parts[0]
-    return _apply_spans(source, _unite(parts), with_text)
-
-
-def _source(docs: DataFrame) -> DataFrame:
-    return docs.select(
+    source = docs.select(
         F.monotonically_increasing_id().alias("row_id"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
     )
+    if len(blocks) == 1:
+        return _match_block(spark, source, blocks[0], window, min_match, with_text)
+    source = _stored(source)
+    parts = [_match_block(spark, source, block, window, 1, False) for block in blocks]
+    return _apply_spans(source, _unite(parts), min_match, with_text)
+
+
+def _stored(numbered: DataFrame) -> DataFrame:
+    """Numbered rows written once, so that every pass and the join see the same numbers."""
+    path = scratch_path(numbered.sparkSession, "decontamination")
+    numbered.write.parquet(path)
+    return numbered.sparkSession.read.schema(numbered.schema).parquet(path)
 
 
 def _unite(parts: list[DataFrame]) -> DataFrame:
@@ -209,9 +242,10 @@ def _unite(parts: list[DataFrame]) -> DataFrame:
 def _match_block(spark, source: DataFrame, block: DataFrame, window: int, min_match: int, with_text: bool) -> DataFrame:
     rows = block.orderBy("item_id").collect()  # bounded by block_words
     shared = spark.sparkContext.broadcast(([r["item_id"] for r in rows], [r["text"] for r in rows]))
+    key = uuid.uuid4().hex
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = ItemBlock(*shared.value, window)
+        items = _block(key, shared, window)
         for batch in batches:
             for i, j in slices(batch.column(2)):
                 rows = _scan(items, batch.column(2).slice(i, j - i), min_match, with_text)
@@ -222,7 +256,7 @@ def _match_block(spark, source: DataFrame, block: DataFrame, window: int, min_ma
     return source.mapInArrow(scan, RESULT)
 
 
-def _apply_spans(source: DataFrame, merged: DataFrame, with_text: bool) -> DataFrame:
+def _apply_spans(source: DataFrame, merged: DataFrame, min_match: int, with_text: bool) -> DataFrame:
     """Counts and cleaned texts of the united spans of several blocks."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,10 +264,10 @@ def _apply_spans(source: DataFrame, merged: DataFrame, with_text: bool) -> DataF
             texts, rows = batch.column("text"), []
             for k, spans in enumerate(batch.column("spans").to_pylist()):
                 words = words_of(texts.slice(k, 1), ALNUM_TABLE)
-                mask = _mask(len(words.starts), spans)
-                united = _spans(mask)
-                text = _clean(words, 0, 0, united) if with_text and united else None
-                rows.append((len(mask), int(mask.sum()), [{"first": a, "end": b} for a, b in united], text))
+                united = _united(spans)
+                reaching = _reaching(united, min_match)
+                text = _clean(words, 0, 0, reaching) if with_text and reaching else None
+                rows.append((len(words.starts), _n_hit(united), reaching, text))
             n, hit, spans, text = zip(*rows, strict=True) if rows else ((), (), (), ())
             longest = batch.column("longest_match").fill_null(0)
             items = pa.array([sorted(x or []) for x in batch.column("items").to_pylist()], _TYPES["items"])
@@ -254,20 +288,21 @@ def decontaminate(
 ) -> DataFrame:
     """Documents, with all their columns, that stay, and their texts without the spans.
 
-    A document goes when more than ``max_coverage`` of its words are hit; of the others only the spans go. One pass
-    per block of items; every pass takes the texts that the one before has cleaned.
+    A document goes when more than ``max_coverage`` of its words are hit; of the others the spans go whose longest match
+    reaches ``min_match``.
     """
     blocks = item_blocks(benchmark, block_words)
     if len(blocks) == 1:
         return _clean_rows(docs.sparkSession, docs, blocks[0], window, min_match, max_coverage)
-    numbered = docs.select("*", F.monotonically_increasing_id().alias(_ROW))
-    united = _unite([_match_block(docs.sparkSession, _source(docs), b, window, min_match, False) for b in blocks])
+    numbered = _stored(docs.select("*", F.monotonically_increasing_id().alias(_ROW)))
+    source = numbered.select(F.col(_ROW).alias("row_id"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    united = _unite([_match_block(docs.sparkSession, source, b, window, 1, False) for b in blocks])
     spans = united.select(F.col("row_id").alias(_ROW), F.col("spans").alias(_SPANS))
     joined = numbered.join(spans, _ROW, "left").drop(_ROW)
-    return joined.mapInArrow(_cut_spans(docs.columns.index("text"), max_coverage), docs.schema)
+    return joined.mapInArrow(_cut_spans(docs.columns.index("text"), min_match, max_coverage), docs.schema)
 
 
-def _cut_spans(at: int, max_coverage: float):
+def _cut_spans(at: int, min_match: int, max_coverage: float):
     """Rows without their last column, the spans; covered rows dropped, spans cut from the text."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,10 +310,10 @@ def _cut_spans(at: int, max_coverage: float):
             texts, keep = batch.column(at).to_pylist(), []
             for k, spans in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
                 words = words_of(batch.column(at).slice(k, 1), ALNUM_TABLE)
-                mask = _mask(len(words.starts), spans)
-                keep.append(bool(mask.sum() <= max_coverage * len(mask)))
-                if mask.any():
-                    texts[k] = _clean(words, 0, 0, _spans(mask))
+                united = _united(spans)
+                keep.append(_n_hit(united) <= max_coverage * len(words.starts))
+                if reaching := _reaching(united, min_match):
+                    texts[k] = _clean(words, 0, 0, reaching)
             out = batch.select(list(range(batch.num_columns - 1)))
             out = out.set_column(at, out.schema.field(at), pa.array(texts, out.schema.field(at).type))
             yield out.filter(pa.array(keep, pa.bool_()))
@@ -286,21 +321,15 @@ def _cut_spans(at: int, max_coverage: float):
     return apply
 
 
-def _mask(n: int, spans: list[dict] | None) -> np.ndarray:
-    mask = np.zeros(n, bool)
-    for s in spans or []:
-        mask[s["first"] : s["end"]] = True
-    return mask
-
-
 def _clean_rows(spark, docs: DataFrame, block: DataFrame, window: int, min_match: int, max_coverage: float) -> DataFrame:
     """Rows of ``docs`` with all their columns: covered ones dropped, ``text`` without its spans."""
     rows = block.orderBy("item_id").collect()  # bounded by block_words
     shared = spark.sparkContext.broadcast(([r["item_id"] for r in rows], [r["text"] for r in rows]))
+    key = uuid.uuid4().hex
     at = docs.columns.index("text")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = ItemBlock(*shared.value, window)
+        items = _block(key, shared, window)
         for batch in batches:
             for i, j in slices(batch.column(at)):
                 part = batch.slice(i, j - i)

@@ -85,6 +85,29 @@ def test_longest_match():
     assert [(s["first"], s["end"]) for s in row[3]] == [(0, 4), (5, 8), (9, 12)]
 
 
+def test_blocks_change_nothing(spark):
+    rows, items = fixture()
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    # equal rows behind a shuffle, whose partitions may be put together differently in each of two scans
+    source = docs(spark, rows + rows[:40]).repartition(13, "text")
+    assert len(dc.item_blocks(benchmark, 100)) > 2
+    for min_match in (1, 12):
+        one, many = ([r.asDict(recursive=True) for r in dc.match_spans(source, benchmark, 10, min_match, n, True).collect()] for n in (10**6, 100))
+        for r in one + many:
+            del r["row_id"]
+        assert sorted(map(repr, one)) == sorted(map(repr, many))
+        assert any(r["n_hit"] and not r["spans"] for r in one) == (min_match > 10)
+        one, many = (dc.decontaminate(source, benchmark, 10, min_match, 0.4, n).collect() for n in (10**6, 100))
+        assert sorted(map(repr, one)) == sorted(map(repr, many))
+
+
+def test_blocks_hold_so_many_words(spark):
+    items = [(i, f"Ab, c1 (élan) {i}") for i in range(50)] + [(50, None), (51, "?!")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    assert len(dc.item_blocks(benchmark, 200)) == 1
+    assert len(dc.item_blocks(benchmark, 199)) == 2
+
+
 def test_empty(spark):
     items = spark.createDataFrame([], "item_id long, text string")
     assert dc.match_spans(docs(spark, odd_rows()), items).filter("n_hit > 0").count() == 0
