@@ -78,7 +78,12 @@ def completed_rows(lines: DataFrame, strict: bool = True) -> DataFrame:
     parsed = parse_inventory(lines, strict=strict)
     if not strict:
         parsed, _ = quarantine(parsed)
-    return parsed.filter(F.col("status") == inv_fn.COMPLETED)
+    return completed(parsed)
+
+
+def completed(rows: DataFrame) -> DataFrame:
+    """Parsed rows of completed granules (F1)."""
+    return rows.filter(F.col("status") == inv_fn.COMPLETED)
 
 
 def convert_inventory(lines: DataFrame, strict: bool = True, num_partitions: int | None = None) -> DataFrame:

@@ -305,6 +305,18 @@ def log_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routing.with_log_key(logs, "logs")
 
 
+@register("parse_log_paths_strict", """
+select 'logs/outcome=' || outcome || '/platform=' || platform || '/acquisition_date=' || ymd || '/granule_id=' || granule_id
+  || '/attempt=' || cast(attempt as varchar) || '.json' key,
+ outcome, platform, ymd acquisition_date, granule_id, attempt
+from current_logs
+""")
+def parse_log_paths_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of the log taken apart again; a key that does not match fails the query."""
+    keys = routing.with_log_key(fx.current_logs(spark, sf_dir).select("granule_id", "outcome", "attempt"), "logs").select("key")
+    return keys.select("key", pth.parse_log_key("key", prefix="logs", strict=True).alias("p")).select("key", "p.*")
+
+
 @register("parse_log_paths", r"""
 , keys as (select distinct key from log_snapshot where dt = (select max(dt) from log_snapshot)),
 m as (select key, regexp_matches(substr(key, 6), '^outcome=(\w+)/platform=(\w+)/acquisition_date=([\d-]+)/granule_id=([\w\.]+)/attempt=([0-9]+)\.json$') ok,
@@ -1144,6 +1156,36 @@ def inventory_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.unionByName(bad.select("inventory", F.lit(True).alias("is_bad"), F.col("value").alias("line")))
 
 
+@register("inventory_rejects", _PARSED_INVENTORY + """
+, lines as (select inventory, replace(replace(value, ' failed f', ' failed x'), ':07:', ':xx:') line from raw_inventory),
+bad as (select inventory, line from lines where line like '% failed x' or line like '%:xx:%'),
+good as (
+ select inventory, granule_id, row_number() over (partition by inventory order by start_datetime desc nulls last, granule_id) - 1 inventory_seq
+ from conv where coalesce(minute(start_datetime), 0) <> 7)
+select inventory, granule_id, inventory_seq, null line from good
+union all
+select inventory, null, null, line from bad
+""")
+def inventory_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spoilt listings through the conversion job with a reject folder: the inventory's rows and the bad lines."""
+    line = F.regexp_replace(F.regexp_replace("value", " failed f", " failed x"), ":07:", ":xx:")
+    listings = _listing_files(spark, sf_dir, fx.raw_inventory(spark, sf_dir).withColumn("value", line))
+    base = scratch_path(spark, "inventory-rejects")
+    jobs.convert_inventories(spark, [listings], f"{base}/good", rejects=f"{base}/bad")
+    good = inv_src.read_inventory(spark, f"{base}/good").select("inventory", "granule_id", "inventory_seq", F.lit(None).cast("string").alias("line"))
+    bad = spark.read.parquet(f"{base}/bad")
+    return good.unionByName(bad.select("inventory", F.lit(None).cast("string").alias("granule_id"), F.lit(None).cast("long").alias("inventory_seq"), F.col("value").alias("line")))
+
+
+@register("inventory_strict", _PARSED_INVENTORY + """
+select inventory, granule_id, start_datetime, status, published from typed
+""")
+def inventory_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of the listing files; a line that is none fails the query."""
+    lines = inv_src.read_inventory_text(spark, _listing_files(spark, sf_dir))
+    return inventory.parse_inventory(lines, strict=True).select("inventory", "granule_id", "start_datetime", "status", "published")
+
+
 @register("inventory_monthly_files", _PARSED_INVENTORY + """
 select inventory, cast(year(start_datetime) as integer) "year", cast(month(start_datetime) as integer) "month", count(*) granule_count
 from conv group by all

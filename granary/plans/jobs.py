@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.operators import feed, inventory, replay, reporting, routing
-from granary.session import configure, delete_folder, list_folder
+from granary.session import configure, delete_folder, list_folder, scratch_path
 from granary.sources import inventory as inv_src
 from granary.sources import commits, joblogs, logtable, queues, snapshot
 from granary.sources import progress as prog
@@ -18,15 +18,21 @@ from granary.sources import progress as prog
 def convert_inventories(spark: SparkSession, listings: list[str], destination: str, rejects: str | None = None) -> None:
     """Listing text files to newest-first Parquet tables (one per listing), written once, with their catalogue of files.
 
-    A bad line fails the job, unless a ``rejects`` folder takes the bad lines (``inventory, value``).
+    A bad line fails the job, unless a ``rejects`` folder takes the bad lines (``inventory, value``). Then the listings are
+    read and parsed once, into a staged table that both outputs come from.
     """
     configure(spark)
     lines = inv_src.read_inventory_text(spark, listings)
-    if rejects is not None:
-        _, bad = inventory.quarantine(inventory.parse_inventory(lines, strict=False))
-        bad.write.mode("overwrite").parquet(rejects)
-    rows = inventory.completed_rows(lines, strict=rejects is None)
-    inv_src.write_ordered(rows, destination, inventory.inventory_order())
+    if rejects is None:
+        inv_src.write_ordered(inventory.completed_rows(lines), destination, inventory.inventory_order())
+        return
+    staged = scratch_path(spark, "parsed-listings")
+    parsed = inventory.parse_inventory(lines, strict=False)
+    parsed.withColumn("value", F.when(~F.col("parse_ok"), F.col("value"))).write.partitionBy("parse_ok").parquet(staged)
+    good, bad = inventory.quarantine(spark.read.schema(parsed.schema).parquet(staged))
+    bad.write.mode("overwrite").parquet(rejects)
+    inv_src.write_ordered(inventory.completed(good), destination, inventory.inventory_order())
+    delete_folder(spark, staged)
 
 
 def create_tracking(spark: SparkSession, inventory_path: str, progress_path: str) -> int:
