@@ -28,6 +28,7 @@ from granary.llm.tokens import DEFAULT_TOKENIZER, encode_documents
 from granary.llm.wavelet import Shard, write_shard
 
 END_ID = 1
+SLICE_BYTES = 4 << 20  # text that the encoder takes at a time
 SHARD_TOKENS = 1 << 20
 
 MANIFEST = "part int, shard int, file string, n_docs long, n_tokens long"
@@ -66,7 +67,7 @@ def write_tokens(
         held, size, before, rows = [], 0, 0, []
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            for first, ids, bounds in encode_documents(batch.column(1), end_id, tokenizer):
+            for first, ids, bounds in encode_documents(batch.column(1), end_id, tokenizer, SLICE_BYTES):
                 for k in range(len(bounds) - 1):
                     held.append((doc_ids[first + k], ids[bounds[k] : bounds[k + 1]]))
                     size += len(held[-1][1])

@@ -131,9 +131,14 @@ def encoder(name: str = DEFAULT_TOKENIZER) -> ChunkEncoder:
     return _encoders[name]
 
 
-def encode_documents(col: pa.Array, end_id: int, name: str = DEFAULT_TOKENIZER) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, ids, offsets) for slices of the column; every document's ids end with ``end_id``."""
+def encode_documents(
+    col: pa.Array, end_id: int, name: str = DEFAULT_TOKENIZER, slice_bytes: int = SLICE_BYTES
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, ids, offsets) for slices of the column; every document's ids end with ``end_id``.
+
+    Larger slices look up fewer distinct chunks in all and hold more memory; the ids are the same.
+    """
     enc = encoder(name)
-    for i, j in slices(col, SLICE_BYTES):
+    for i, j in slices(col, slice_bytes):
         ids, bounds = enc.encode(col.slice(i, j - i))
         yield i, np.insert(ids, bounds[1:], end_id).astype("<u4", copy=False), bounds + np.arange(j - i + 1)
