@@ -159,7 +159,7 @@ def redrive_from_queue(spark: SparkSession, failure_path: str, retry_path: str,
     own = ("redrive-rest", run_id)
     before = [b for b in queues.batches(spark, failure_path) if b != own]
     failures = queues.read_batches(spark, failure_path, before).drop("producer", "batch_id")
-    moved, remaining = routing.redrive_queue(failures, limit)
+    moved, remaining = routing.redrive_queue(failures, limit, stored=True)
     queues.append_batch(moved, retry_path, "redrive-queue", run_id)
     queues.append_batch(remaining, failure_path, *own)
     queues.drop_batches(spark, failure_path, before)
