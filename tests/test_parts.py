@@ -4,8 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import time
 
-from granary.plans import catalog
+from pyspark.sql import functions as F
+
+from granary.functions.granules import acquisition_date
+from granary.operators import replay, routing
+from granary.plans import catalog, jobs
+from granary.session import released_shuffles
+from granary.sources import joblogs, logtable, queues
 
 ORDERS = "o_orderkey bigint, o_orderstatus string, o_orderdate timestamp_ntz"
 LINES = (
@@ -37,3 +44,83 @@ def test_job_log_files_lie_in_the_folder_of_their_day(spark, scratch):
     of_id = {(r["granule_id"].split(".")[3][:7], r["acquisition_date"]) for r in rows}
     assert {dt.datetime.strptime(doy, "%Y%j").strftime("%Y-%m-%d") for doy, _ in of_id} == {day for _, day in of_id}
     assert len(of_id) == 12 and all(r["folder"].endswith(f"/acquisition_date={r['acquisition_date']}") for r in rows)
+
+
+COLUMNS = ["granule_id", "outcome", "attempt", "job_outcome", "arrival", "id"]
+
+
+def _logged(spark, folder):
+    """Logged attempts of twelve days; some granules have no day."""
+    rows = routing.log_rows(catalog._routed(spark, _tables(spark, folder)), order="seq").withColumnRenamed("seq", "arrival")
+    rows = rows.withColumn("id", F.col("job_info.jobId"))
+    nameless = rows.filter("attempt = 1").withColumn("granule_id", F.concat(F.lit("x"), F.split_part("granule_id", F.lit("T"), F.lit(2))))
+    nameless = nameless.withColumns({"platform": F.lit(None).cast("string"), "acquisition_date": acquisition_date("granule_id")})
+    return rows.unionByName(nameless)
+
+
+def test_days_are_put_together_up_to_a_number_of_rows():
+    sizes = {("b",): 3, ("a",): 2, (None,): 1, ("d",): 9, ("c",): 1}
+    assert replay.day_parts(sizes, 4) == [[(None,), ("a",)], [("b",), ("c",)], [("d",)]]
+    assert replay.day_parts({}, 4) == [] and replay.day_parts(sizes) == [[(None,), ("a",), ("b",), ("c",), ("d",)]]
+
+
+def test_a_replay_in_parts_is_a_replay_of_everything(spark, scratch):
+    events = _logged(spark, scratch).drop("platform").cache()
+    options = {"order": "arrival", "tie": "id"}
+    whole = replay.current_job_logs(events.drop("acquisition_date"), **options)
+    parts = replay.current_in_parts(events, "acquisition_date", rows=10, **options)
+    assert len(parts) >= 5 and max(p.count() for p in parts) <= 20
+    assert sorted(map(str, (r for p in parts for r in p.select(*COLUMNS).collect()))) == sorted(map(str, whole.select(*COLUMNS).collect()))
+    assert replay.current_in_parts(events.filter("false"), "acquisition_date", **options)[0].count() == 0
+
+
+def test_a_log_of_several_parts_is_one_version(spark, scratch):
+    events = _logged(spark, scratch).drop("platform").cache()
+    parts = replay.current_in_parts(events, "acquisition_date", rows=20, order="arrival", tie="id")
+    seen = []
+    for version in range(2):
+        seen.append(joblogs.rewrite_job_logs([routing.log_rows(p) for p in parts], f"{scratch}/logs"))
+        assert joblogs.versions(spark, f"{scratch}/logs") == seen
+    expected = replay.current_job_logs(events.drop("acquisition_date"), order="arrival", tie="id").count()
+    assert joblogs.read_job_logs(spark, f"{scratch}/logs").count() == expected
+    joblogs.write_job_logs(routing.log_rows(parts[0]), f"{scratch}/logs/version=2", complete=False)
+    assert joblogs.versions(spark, f"{scratch}/logs") == seen  # a part alone is no version
+
+
+def test_a_log_from_an_empty_event_table_is_empty(spark, scratch):
+    queues.append_batch(_logged(spark, scratch).filter("attempt < 0"), f"{scratch}/events", "history", 0)
+    jobs.materialize_current_logs(spark, f"{scratch}/events", f"{scratch}/logs")
+    assert joblogs.versions(spark, f"{scratch}/logs") == [0] and joblogs.read_job_logs(spark, f"{scratch}/logs").count() == 0
+
+
+def test_a_compaction_in_parts_equals_a_replay(spark, scratch):
+    events = _logged(spark, scratch).cache()
+    for batch, part in enumerate(("arrival <= 2", "arrival > 2")):
+        logtable.compact(events.filter(part), f"{scratch}/table", "history", batch, block_size=4096, part_rows=15)
+    expected = replay.current_job_logs(events.drop("platform", "acquisition_date"), order="arrival", tie="id")
+    columns = ["granule_id", "outcome", "attempt", "job_outcome", "job_info.jobId"]
+    assert sorted(map(str, logtable.read(spark, f"{scratch}/table").select(*columns).collect())) == sorted(map(str, expected.select(*columns).collect()))
+
+
+def _shuffled(spark) -> set[str]:
+    """Shuffle files in the local folders of this session."""
+    top = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+    return {n for d in top for _, _, names in os.walk(d) for n in names if n.startswith("shuffle_")}
+
+
+def _left(spark, before: set[str]) -> set[str]:
+    for _ in range(50):  # files go a moment after the write
+        if not (left := _shuffled(spark) - before):
+            break
+        time.sleep(0.2)
+    return left
+
+
+def test_a_write_leaves_no_shuffle_files(spark, scratch):
+    before = _shuffled(spark)
+    with released_shuffles(spark):
+        spark.range(1000).repartition(7, "id").write.parquet(f"{scratch}/out")
+    assert not _left(spark, before)
+    queues.append_batch(spark.range(1000).repartition(7, "id"), f"{scratch}/queue", "p", 0)
+    assert not _left(spark, before)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
