@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from granary.functions.granules import acquisition_date
 from granary.operators import replay, routing
-from granary.plans import catalog, jobs
+from granary.plans import catalog, fixtures, jobs
 from granary.session import released_shuffles
-from granary.sources import joblogs, logtable, queues
+from granary.sources import joblogs, logtable, queues, snapshot
+from granary.streaming import monitor, replay_state
 
 ORDERS = "o_orderkey bigint, o_orderstatus string, o_orderdate timestamp_ntz"
 LINES = (
@@ -116,6 +117,52 @@ def _left(spark, before: set[str]) -> set[str]:
     return left
 
 
+def test_listings_are_stored_in_order_of_their_keys(spark, scratch):
+    rows = spark.range(20_000, numPartitions=1).select(
+        F.lit("2025-06-01-01-00").alias("dt"), F.concat(F.lit("logs/granule_id="), F.hex(F.xxhash64("id")), F.lit("/attempt=0.json")).alias("key"),
+        *(F.lit(None).cast("string").alias(c) for c in ("bucket", "version_id")), F.lit(True).alias("is_latest"), F.lit(False).alias("is_delete_marker"),
+        F.lit(None).cast("timestamp").alias("last_modified_date"),
+    )
+    snapshot.write_snapshot(rows, f"{scratch}/listing")
+    keys = [r["key"] for r in snapshot.read_snapshot(spark, f"{scratch}/listing").collect()]
+    assert keys == sorted(keys) and len(keys) == 20_000
+    assert all(n.endswith(".zstd.parquet") for _, _, names in os.walk(f"{scratch}/listing") for n in names if n.startswith("part-"))
+
+
+def test_the_listing_in_parts_has_the_keys_of_the_log(spark, scratch, monkeypatch):
+    tables = _tables(spark, scratch)
+    monkeypatch.setattr(fixtures, "current_in_parts", lambda *a, **o: replay.current_in_parts(*a, rows=20, **o))
+    listed = [r["key"] for r in fixtures.log_snapshot(spark, tables).filter("dt = '2025-06-02-01-00' and key not like '%manifest.json'").collect()]
+    logs = routing.with_log_key(fixtures.current_logs(spark, tables, extra=["k"]).filter("k % 97 <> 0"), "logs")
+    assert sorted(listed) == sorted(r["key"] for r in logs.select("key").collect())
+
+
+def test_read_documents_are_deleted_once_they_are_in(spark, scratch):
+    tables = _tables(spark, scratch)
+    catalog._events(spark, tables).repartition(6).write.json(f"{scratch}/in")
+    largest = max(os.path.getsize(f"{scratch}/in/{f}") for f in os.listdir(f"{scratch}/in") if f.startswith("part-"))
+    sinks = monitor.MonitorSinks(*(f"{scratch}/{n}" for n in ("log", "retry", "failure", "rejects")))
+    stream = monitor.read_state_changes(spark, f"{scratch}/in", max_bytes_per_trigger=largest + 1, delete_read=True)
+    monitor.start_monitor(stream, sinks, f"{scratch}/ckpt", fixtures.MAIN_QUEUE, catalog.JOB_DEFINITION, available_now=True).awaitTermination()
+    for _ in range(50):
+        if (left := sum(f.startswith("part-") for f in os.listdir(f"{scratch}/in"))) < 3:
+            break
+        time.sleep(0.2)
+    assert left < 3  # those of the last micro-batch may stay
+    expected = sorted(r[0] for r in catalog._routed(spark, tables).select("id").collect())
+    assert sorted(r[0] for r in spark.read.parquet(sinks.log_events).select("id").collect()) == expected
+
+
+def test_state_lies_in_rocksdb(spark, scratch):
+    schema = "granule_id string, attempt int, job_outcome string, arrival bigint, id string"
+    spark.createDataFrame([("g", 0, "SUCCESS", 1, "e")], schema).write.parquet(f"{scratch}/in")
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    query = replay_state.start_state_replay(spark.readStream.schema(schema).parquet(f"{scratch}/in"), f"{scratch}/out", f"{scratch}/ckpt", available_now=True)
+    query.awaitTermination()
+    assert any(name.startswith("rocksdb") for name in query.lastProgress["stateOperators"][0]["customMetrics"])
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+
+
 def test_a_write_leaves_no_shuffle_files(spark, scratch):
     before = _shuffled(spark)
     with released_shuffles(spark):
